@@ -30,9 +30,12 @@ def bind(facts: DataFrame, history: DataFrame, fact_key: str, ts: str, history_k
         raise ValueError("how must be 'left' or 'inner'")
     h = history.select(F.col(hk).alias("_hk"), "valid_from", "valid_to", *columns)
     if form == "range":
-        cond = ((facts[fact_key] == h["_hk"]) & (facts[ts] >= h["valid_from"])
-                & (h["valid_to"].isNull() | (facts[ts] < h["valid_to"])))
-        return facts.join(h, cond, how).select(*[facts[c] for c in facts.columns], *[h[c] for c in columns])
+        f, v = facts.alias("_f"), h.alias("_h")
+        t = F.col(f"_f.{ts}")
+        cond = ((F.col(f"_f.{fact_key}") == F.col("_h._hk")) & (t >= F.col("_h.valid_from"))
+                & (F.col("_h.valid_to").isNull() | (t < F.col("_h.valid_to"))))
+        return f.join(v, cond, how).select(*[F.col(f"_f.{c}") for c in facts.columns],
+                                           *[F.col(f"_h.{c}") for c in columns])
     if form != "asof":
         raise ValueError("form must be 'range' or 'asof'")
     fact_cols = facts.columns
