@@ -233,6 +233,180 @@ def freshness(spark, sf):
     return reconcile.freshness(proxy.table(spark, sf, "events"), "ts", FRESHNESS_NOW, FRESHNESS_MAX_AGE)
 
 
+# --- ingest, upsert, audits -------------------------------------------------------------------
+
+LOADED_BEFORE = "1998-01-01"
+
+
+def idempotent_append(spark, sf):
+    """Raw already holds the batches before LOADED_BEFORE; a replay of every batch arrives.
+    Result: the raw table after the append, each row marked kept or inserted."""
+    from tallyframe.sources import batch as B
+    raw = proxy.transaction_payloads(spark, sf).select("entity", "batch_id", "source_record_id")
+    existing = raw.filter(F.col("batch_id") < LOADED_BEFORE)
+    appended = B.insert_absent(existing, raw)
+    return existing.withColumn("ingest_action", F.lit("kept")).unionByName(
+        appended.withColumn("ingest_action", F.lit("inserted")))
+
+
+def _fact_versions(spark, sf):
+    """(stored, updates): stored facts loaded before LOADED_BEFORE; updates = every order with its
+    amount corrected to the sum of its line prices (unchanged when it has no lines)."""
+    tx = proxy.transactions(spark, sf).select("transaction_id", "amount", "status", "event_at")
+    li = proxy.table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("transaction_id")).agg(
+        F.sum(F.col("l_extendedprice").cast(TT.MONEY)).cast(TT.MONEY).alias("line_amount"))
+
+    def hashed(df):
+        return df.withColumn("record_hash", F.sha2(F.concat_ws("|", "transaction_id", F.col("amount").cast("string"),
+                                                               "status"), 256))
+    stored = hashed(tx.filter(F.col("event_at") < F.lit(LOADED_BEFORE).cast("timestamp")).drop("event_at"))
+    updates = hashed(tx.join(li, "transaction_id", "left").select(
+        "transaction_id", F.coalesce("line_amount", "amount").alias("amount"), "status"))
+    return stored, updates
+
+
+def merge_upsert(spark, sf):
+    from tallyframe.plans import tables
+    stored, updates = _fact_versions(spark, sf)
+    return tables.merge(stored, updates, ["transaction_id"], ["record_hash"]).withColumnRenamed(
+        "_action", "merge_action")
+
+
+def upsert_change_count(spark, sf):
+    from tallyframe.plans import tables
+    stored, updates = _fact_versions(spark, sf)
+    return tables.change_count(stored, updates, ["transaction_id"], ["record_hash"]).withColumnRenamed(
+        "_action", "merge_action")
+
+
+def fact_reference_violations(spark, sf):
+    """Order facts bound to the customer version at order time, audited against accounts and history."""
+    h = _history(spark, sf)
+    tx = temporal.bind(proxy.transactions(spark, sf), h, "customer_id", "event_at",
+                       columns=("customer_version_id",), how="left")
+    bad = reconcile.fact_reference_violations(tx, _accounts_typed(spark, sf), h)
+    return bad.select("transaction_id", "account_id", "customer_id", "customer_version_id")
+
+
+# --- full recompute from raw ------------------------------------------------------------------
+
+def _prepared(spark, sf):
+    from tallyframe.plans.prepare import prepare
+    return prepare(proxy.raw_records(spark, sf), persist=False)
+
+
+def prepared_transactions(spark, sf):
+    return _prepared(spark, sf).transactions
+
+
+def prepared_quarantine(spark, sf):
+    return _prepared(spark, sf).quarantine
+
+
+def prepared_history(spark, sf):
+    return _prepared(spark, sf).history
+
+
+def prepared_accounts(spark, sf):
+    return _prepared(spark, sf).accounts
+
+
+# --- versioned tables (write under the session's shared work folder) ---------------------------
+
+def _facts_table(spark, sf):
+    from tallyframe.plans import tables
+    from tallyframe.session import work_dir
+    table = work_dir(spark, "facts")
+    stored, updates = _fact_versions(spark, sf)
+    tables.write_version(stored, table)
+    tables.upsert(updates, table, ["transaction_id"], ["record_hash"])
+    return table
+
+
+def time_travel_read(spark, sf):
+    """Version 0 (stored facts) next to the latest version (after the corrections upsert)."""
+    from tallyframe.plans import tables
+    table = _facts_table(spark, sf)
+    v0 = tables.read_version(spark, table, 0).select("transaction_id", F.col("amount").alias("amount_v0"))
+    latest = tables.read_version(spark, table).select("transaction_id", F.col("amount").alias("amount_latest"))
+    return latest.join(v0, "transaction_id", "left")
+
+
+def schema_evolution_read(spark, sf):
+    """Add a nullable column by metadata only; old rows read NULL, the type change is refused."""
+    from tallyframe.plans import tables
+    from tallyframe.session import work_dir
+    table = work_dir(spark, "evolve")
+    stored, _ = _fact_versions(spark, sf)
+    tables.write_version(stored, table)
+    tables.add_column(spark, table, "memo", "string")
+    try:
+        tables.change_type(spark, table, "amount", "string")
+    except tables.SchemaError:
+        pass
+    return tables.read_version(spark, table)
+
+
+def compaction(spark, sf):
+    """Facts written month-partitioned in many small files, compacted; contents must stay equal.
+
+    (The test tables spread few rows over ~2,400 days, so the demo partitions
+    by month; production fact tables partition by day.)
+    """
+    from tallyframe.plans import tables
+    from tallyframe.session import work_dir
+    table = work_dir(spark, "compact")
+    tx = proxy.transactions(spark, sf).withColumn("event_month", F.trunc(F.to_date("event_at"), "month"))
+    tables.write_version(tx.repartition(8), table, ["event_month"])
+    v = tables.compact(spark, table, ["event_month"], 1)["version"]
+    return fingerprint(tables.read_version(spark, table, v),
+                       ["transaction_id", "account_id", "amount", "currency", "status", "channel"])
+
+
+def publish_pointer(spark, sf):
+    """Payments mart published under a run folder and read back through the pointer."""
+    from tallyframe.plans import tables
+    from tallyframe.session import work_dir
+    root = work_dir(spark, "publish")
+    path = f"{root}/marts/run-1/payments"
+    marts.payments_daily(proxy.transactions(spark, sf)).write.parquet(path)
+    tables.publish_pointer(spark, f"{root}/published", "run-1", {"payments": path})
+    return tables.read_published(spark, f"{root}/published", "payments")
+
+
+def export_checksum(spark, sf):
+    """Payments mart exported to CSV with checksums, staged after the checks, read back from staging."""
+    from tallyframe.plans import publish
+    from tallyframe.session import work_dir
+    root = work_dir(spark, "export")
+    tx = proxy.transactions(spark, sf)
+    folder = f"{root}/exports/run-1"
+    info = publish.export(marts.payments_daily(tx), f"{folder}/payments", "run-1")
+    import json
+    manifest = {"snapshots": {}, "files": {"payments": info}, "expected": []}
+    spark.createDataFrame([(json.dumps(manifest),)], "m string").coalesce(1).write.text(f"{folder}/manifest")
+    publish.stage(spark, root, "run-1")
+    return publish.staged(spark, root, "payments", "run-1").drop("run_id")
+
+
+def file_metadata(spark, sf):
+    from tallyframe.sources import batch as B
+    return B.file_metadata(spark, sf.rstrip("/"), "*.parquet")
+
+
+def manifest_integrity(spark, sf):
+    """Order records written as a sharded JSON-lines batch, then checked file by file (empty = intact)."""
+    from tallyframe.sources import batch as B
+    from tallyframe.session import work_dir
+    root = work_dir(spark, "batch")
+    t = proxy.transactions(spark, sf)
+    rows = t.select(F.col("transaction_id").cast("bigint").alias("ordinal"), "transaction_id", "account_id",
+                    proxy.iso_utc(F.col("event_at")).alias("event_at"), F.col("amount").cast("string").alias("amount"),
+                    "currency", "status", "direction", "channel")
+    folder, manifest = B.write_batch(spark, root, "2024-02-01", {"transactions": rows}, "orders")
+    return B.check_batch(spark, folder, manifest)
+
+
 # --- flagship ---------------------------------------------------------------------------------
 
 def segment_payments(spark, sf):
@@ -279,4 +453,19 @@ REGISTRY = {
     "top1_latest": top1_latest,
     "last_n": last_n,
     "freshness": freshness,
+    "idempotent_append": idempotent_append,
+    "merge_upsert": merge_upsert,
+    "upsert_change_count": upsert_change_count,
+    "fact_reference_violations": fact_reference_violations,
+    "prepared_transactions": prepared_transactions,
+    "prepared_quarantine": prepared_quarantine,
+    "prepared_history": prepared_history,
+    "prepared_accounts": prepared_accounts,
+    "time_travel_read": time_travel_read,
+    "schema_evolution_read": schema_evolution_read,
+    "compaction": compaction,
+    "publish_pointer": publish_pointer,
+    "export_checksum": export_checksum,
+    "file_metadata": file_metadata,
+    "manifest_integrity": manifest_integrity,
 }

@@ -172,3 +172,58 @@ def lineitem_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
                       ("discount", "extended_price", "l_partkey", "l_suppkey", "line_status", "quantity",
                        "return_flag")])
     return out.withColumn("record_hash", F.sha2(F.to_json(text), 256))
+
+
+def segment_of(event_type: Column) -> Column:
+    """Event type as a customer segment; an unknown type keeps its upper-cased name (and fails validation)."""
+    return (F.when(event_type == "view", "RETAIL").when(event_type == "click", "PREMIUM")
+            .when(event_type == "signup", "BUSINESS").otherwise(F.upper(event_type)))
+
+
+def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three entities as raw JSON records (the raw table of the ledger model).
+
+    customers    <- non-purchase events (change per event; batch = event day)
+    accounts     <- customer (batch "accounts-initial")
+    transactions <- purchase events (batch = event day)
+    """
+    e = table(spark, sf_dir, "events")
+    cr = customer_region(spark, sf_dir)
+    cc = customer_currency(spark, sf_dir)
+    ev = e.join(cr, e["user_id"] == cr["c_custkey"], "left").drop("c_custkey").join(
+        cc, e["user_id"] == cc["c_custkey"], "left")
+    day = F.date_format("ts", "yyyy-MM-dd")
+    ts = F.col("ts").cast("timestamp")
+
+    def rid(entity, key):
+        return F.concat(F.lit(f"{entity}:"), F.lpad(key.cast("string"), 12, "0"))
+
+    changes = ev.filter(F.col("event_type") != "purchase").select(
+        F.lit("customers").alias("entity"),
+        F.to_json(F.struct(
+            F.col("event_id").cast("string").alias("change_version"),
+            F.col("user_id").cast("string").alias("customer_id"),
+            iso_utc(F.date_trunc("hour", ts)).alias("effective_at"),
+            F.col("region"), segment_of(F.col("event_type")).alias("segment"))).alias("payload"),
+        day.alias("batch_id"), rid("customers", F.col("event_id")).alias("source_record_id"),
+        ts.alias("ingested_at"))
+    k = F.get_json_object("props", "$.k").try_cast("bigint")
+    purchases = ev.filter(F.col("event_type") == "purchase").select(
+        F.lit("transactions").alias("entity"),
+        F.to_json(F.struct(
+            F.col("user_id").cast("string").alias("account_id"),
+            F.col("value").cast(TT.MONEY).cast("string").alias("amount"),
+            F.when(k % 3 == 0, "CARD").when(k % 3 == 1, "TRANSFER").when(k % 3 == 2, "ATM").alias("channel"),
+            F.col("currency"), direction_of(F.col("event_id")).alias("direction"),
+            iso_utc(ts).alias("event_at"), F.lit("1").alias("record_version"),
+            iso_utc(ts).alias("source_updated_at"), F.lit("POSTED").alias("status"),
+            F.col("event_id").cast("string").alias("transaction_id"))).alias("payload"),
+        day.alias("batch_id"), rid("transactions", F.col("event_id")).alias("source_record_id"),
+        ts.alias("ingested_at"))
+    a = accounts(spark, sf_dir)
+    accs = a.select(
+        F.lit("accounts").alias("entity"),
+        F.to_json(F.struct(*[F.col(c) for c in TT.payload_fields("accounts")])).alias("payload"),
+        F.lit("accounts-initial").alias("batch_id"), rid("accounts", F.col("account_id")).alias("source_record_id"),
+        F.to_timestamp(F.col("opened_at")).alias("ingested_at"))
+    return changes.unionByName(accs).unionByName(purchases)
