@@ -21,7 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyframe.session import ensure_checkpoint_dir
+from tallyframe.session import materialize
 
 MAX_KEY_ROWS_CONF = "tallyframe.sequence.maxKeyRows"
 DEFAULT_MAX_KEY_ROWS = 2_000_000
@@ -68,12 +68,12 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], lag: di
 
 def _range_neighbours(df, keys, order, lag, lead, fill, partitions):
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Segment ids must stay fixed between the passes below, so the range
-    # partitioning is materialised once (reliable checkpoint, survives
+    # partitioning is materialised once in the shared work folder (survives
     # executor loss) instead of being re-sampled by each later job.
-    seg = df.repartitionByRange(n, *keys, *order).withColumn("_seg", F.spark_partition_id()).checkpoint()
+    seg = materialize(df.repartitionByRange(n, *keys, *order).withColumn("_seg", F.spark_partition_id()),
+                      "segments")
     part = [*keys, "_seg"]
     w = Window.partitionBy(*part).orderBy(*order)
     wf = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

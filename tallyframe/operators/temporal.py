@@ -39,6 +39,7 @@ def bind(facts: DataFrame, history: DataFrame, fact_key: str, ts: str, history_k
     if form != "asof":
         raise ValueError("form must be 'range' or 'asof'")
     fact_cols = facts.columns
+    method = sequence.choose(facts.select(F.col(fact_key).alias("_k")), ["_k"], method)
     f = facts.select(F.col(fact_key).cast(h.schema["_hk"].dataType).alias("_k"), F.col(ts).alias("_t"),
                      F.lit(1).alias("_is_fact"), F.struct(*[F.col(c) for c in fact_cols]).alias("_f"),
                      F.lit(None).cast(_version_type(h, columns)).alias("_v"))

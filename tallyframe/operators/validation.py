@@ -28,8 +28,14 @@ def parse_payload(df: DataFrame, entity: str, payload: str = "payload", into: st
 
     Undeclared fields are dropped; malformed JSON yields a struct of NULLs,
     which then fails every ``required:`` rule.
+
+    The struct comes out of a one-element ``inline`` generator: a filter on
+    rule results (``reason = ''``) cannot be pushed beneath a generator, so
+    the optimizer cannot re-inline the parser into every rule predicate and
+    each payload is parsed once per row.
     """
-    return df.withColumn(into, F.from_json(F.col(payload), TT.payload_schema(entity, schema_version)))
+    parsed = F.from_json(F.col(payload), TT.payload_schema(entity, schema_version))
+    return df.select("*", F.inline(F.array(F.struct(parsed.alias(into)))))
 
 
 def reason_column(rules: Sequence[Rule]) -> Column:

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyframe import types as TT
 from tallyframe.operators import scd2, temporal, validation, versions
+from tallyframe.session import materialize
 
 
 @dataclass
@@ -31,7 +32,7 @@ class Prepared:
     parts: list
 
     def release(self) -> None:
-        for df in (self.history, self.accounts, *self.parts):
+        for df in self.parts:
             df.unpersist()
 
 
@@ -42,8 +43,8 @@ def _p(name: str):
 def prepare(raw: DataFrame, form: str = "range", method: str = "auto", persist: bool = True) -> Prepared:
     """``raw``: entity, payload, batch_id, source_record_id, ingested_at (all batches).
 
-    ``checked`` (every raw row with reason and hash), ``history`` and
-    ``accounts`` are persisted because several later plans read them.
+    The per-entity checked frames are persisted when ``persist`` (each is
+    read by a valid and a rejected branch; lost blocks are recomputed).
     """
     # One checked frame per entity (their parsed structs differ); each is
     # read by the valid and the rejected branch, so it is persisted.
@@ -62,10 +63,12 @@ def prepare(raw: DataFrame, form: str = "range", method: str = "auto", persist:
         _p("effective_at").try_cast("timestamp").alias("effective_at"),
         _p("change_version").try_cast("bigint").alias("change_version"),
         F.col("ingested_at").alias("received_at"), "record_hash")
+    # history is dimension-sized and read by four later plans (known keys,
+    # accounts filter, orphan check, binding): it is written once to the
+    # shared work folder (lineage cut, computed once, survives executor loss).
     history = scd2.history(cust, "customer_id", "effective_at", ["change_version", "record_hash"],
                            ["region", "segment"], method=method)
-    if persist:
-        history = history.persist(StorageLevel.MEMORY_AND_DISK)
+    history = materialize(history, "history")
     known = history.select("customer_id").distinct()
 
     acc_valid = halves["accounts"][0]
@@ -76,8 +79,6 @@ def prepare(raw: DataFrame, form: str = "range", method: str = "auto", persist:
         F.col("ingested_at").alias("received_at"), "record_hash")
     winners = versions.latest_wins(acc_rows, ["account_id"], ["record_version", "record_hash"])
     accounts = winners.join(known, "customer_id", "left_semi").select(*TT.ACCOUNT_COLUMNS)
-    if persist:
-        accounts = accounts.persist(StorageLevel.MEMORY_AND_DISK)
     orphans = acc_valid.withColumn("customer_id", _p("customer_id")).join(known, "customer_id", "left_anti")
     rejects.append(validation.as_rejects(orphans, F.lit("customer_fk")))
 

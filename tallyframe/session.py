@@ -16,6 +16,11 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # AQE coalesces small shuffles into very few partitions; per-row work
+    # after them (JSON parsing, regex rules, SHA-256) then runs in one task.
+    # A small floor keeps such stages parallel; on large data partitions are
+    # far above it and the setting has no effect.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -71,3 +76,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as Parquet under the shared work folder and read it back.
+
+    Cuts the lineage like a reliable checkpoint, but computes the input once
+    (``Dataset.checkpoint`` runs it twice unless cached), stores it columnar,
+    and survives executor loss.
+    """
+    path = work_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

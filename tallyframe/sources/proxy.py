@@ -21,8 +21,26 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tallyframe import types as TT
 
 
+# Fact-sized tables (grow with the data); the others are dimensions.
+FACT_TABLES = ("orders", "lineitem", "events")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if name in FACT_TABLES else df
+
+
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread an under-split scan over the cluster's cores.
+
+    A table stored as one Parquet row group is read by a single task, and
+    every per-row expression before the first shuffle would run on it.
+    Only such scans (fewer splits than the default parallelism) get a
+    round-robin repartition; large, many-file inputs are left untouched,
+    so they never pay an extra shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def currency_of(nationkey: Column) -> Column:
