@@ -59,7 +59,7 @@ def daily_rollup(tx: DataFrame, day: Column | str, date_col: str = "event_date")
             .agg(F.count(F.lit(1)).alias("transaction_count"), _total("amount").alias("total_amount")))
 
 
-def historical_turnover(tx: DataFrame, history: DataFrame, form: str = "range", method: str = "auto") -> DataFrame:
+def historical_turnover(tx: DataFrame, history: DataFrame, form: str = "auto", method: str = "auto") -> DataFrame:
     """Turnover by customer x day x currency with the segments valid at event time.
 
     POSTED facts are bound to history (inner, at event time), aggregated

@@ -8,6 +8,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.operators import sequence
 
+MAX_VERSIONS_CONF = "tallyframe.bind.maxVersionsPerKey"
+MAX_VERSIONS_PER_KEY = 64
+
+
+def choose_form(history: DataFrame, key: str) -> str:
+    """'range' when every key has few versions (bounded candidate pairs per fact), else 'asof'."""
+    limit = int(history.sparkSession.conf.get(MAX_VERSIONS_CONF, str(MAX_VERSIONS_PER_KEY)))
+    return "asof" if sequence.largest_group(history.select(key), [key]) > limit else "range"
+
 
 def bind(facts: DataFrame, history: DataFrame, fact_key: str, ts: str, history_key: str | None = None,
          columns: Sequence[str] = ("customer_version_id",), how: str = "left", form: str = "range",
@@ -24,10 +33,15 @@ def bind(facts: DataFrame, history: DataFrame, fact_key: str, ts: str, history_k
     ``method="range"``; never pairs a fact with every version of its key.
     The carried version is kept only while ``ts < valid_to``, so both forms
     agree on any set of non-overlapping intervals.
+
+    form="auto": range while no key has more than ``MAX_VERSIONS_PER_KEY``
+    versions (one aggregation over the dimension-sized history), else asof.
     """
     hk = history_key or fact_key
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
+    if form == "auto":
+        form = choose_form(history, hk)
     h = history.select(F.col(hk).alias("_hk"), "valid_from", "valid_to", *columns)
     if form == "range":
         f, v = facts.alias("_f"), h.alias("_h")
@@ -72,7 +86,7 @@ def classify_fk(account_id: Column | str = "account_id", account_currency: Colum
             .otherwise(""))
 
 
-def bind_to_accounts_and_history(tx: DataFrame, accounts: DataFrame, history: DataFrame, form: str = "range",
+def bind_to_accounts_and_history(tx: DataFrame, accounts: DataFrame, history: DataFrame, form: str = "auto",
                                  method: str = "auto") -> DataFrame:
     """Facts -> account (left) -> customer version at event time (left) + ``fk_reason``.
 
@@ -81,8 +95,10 @@ def bind_to_accounts_and_history(tx: DataFrame, accounts: DataFrame, history: Da
     valid_to, customer_version_id.
     """
     a = accounts.select("account_id", F.col("customer_id"), F.col("currency").alias("account_currency"),
-                        "opened_at")
+                        "opened_at", F.lit(True).alias("_account_found"))
     joined = tx.join(a, "account_id", "left")
     bound = bind(joined, history, "customer_id", "event_at", columns=("customer_version_id",), how="left",
                  form=form, method=method)
-    return bound.withColumn("fk_reason", classify_fk()).drop("account_currency", "opened_at")
+    # The USING join keeps the fact's own account_id; a miss shows as a NULL marker.
+    return bound.withColumn("fk_reason", classify_fk(account_id="_account_found")).drop(
+        "account_currency", "opened_at", "_account_found")

@@ -40,7 +40,7 @@ def _p(name: str):
     return F.col(f"p.{name}")
 
 
-def prepare(raw: DataFrame, form: str = "range", method: str = "auto", persist: bool = True) -> Prepared:
+def prepare(raw: DataFrame, form: str = "auto", method: str = "auto", persist: bool = True) -> Prepared:
     """``raw``: entity, payload, batch_id, source_record_id, ingested_at (all batches).
 
     The per-entity checked frames are persisted when ``persist`` (each is

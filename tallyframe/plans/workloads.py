@@ -413,7 +413,7 @@ def segment_payments(spark, sf):
     """Purchases bound to the customer version valid at event time, by day x currency x segment."""
     facts = proxy.purchase_facts(spark, sf)
     bound = temporal.bind(facts, _history(spark, sf), "customer_id", "event_at", columns=("segment",),
-                          how="left", form="range")
+                          how="left", form="auto")
     return (bound.groupBy(F.to_date("event_at").alias("payment_date"), "currency",
                           F.coalesce(F.col("segment"), F.lit("UNBOUND")).alias("segment"))
             .agg(F.count(F.lit(1)).alias("transaction_count"), F.sum("amount").cast(TT.TOTAL).alias("total_amount")))

@@ -16,7 +16,9 @@ def spark():
     scratch = tempfile.mkdtemp(prefix="tally-tests-")
     session = build_session("local[*]", "tallyframe-tests", 8,
                             {"spark.checkpoint.dir": f"{scratch}/checkpoints",
-                             "spark.sql.warehouse.dir": f"{scratch}/warehouse"})
+                             "spark.sql.warehouse.dir": f"{scratch}/warehouse",
+                             # no client-side .crc files (as on object stores): tests edit files in place
+                             "spark.hadoop.fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem"})
     session.sparkContext.setCheckpointDir(f"{scratch}/checkpoints")
     yield session
     session.stop()
