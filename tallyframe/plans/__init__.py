@@ -1 +1 @@
-"""tallyframe.plans."""
+"""Multi-step jobs: versioned tables, full recompute, publication, run journal, runner, benchmark, workloads."""

@@ -1 +1 @@
-"""tallyframe.sources."""
+"""Readers and writers: JSON-lines batches and manifests, generator, metadata scans, testdata proxy."""

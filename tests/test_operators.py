@@ -264,3 +264,21 @@ def test_event_log_shuffle(spark, scratch):
         fh.write("\n".join(json.dumps(x) for x in lines) + "\n")
     row = B.event_log_shuffle(spark, path).first()
     assert (row["group"], row["shuffle_read_bytes"], row["shuffle_write_bytes"]) == ("g", 13, 11)
+
+
+def test_streaming_ingest_of_new_batches(spark, scratch):
+    from tallyframe.plans import runner
+    from tallyframe.streaming import ingest_new_batches
+    sources = f"{scratch}/sources"
+    _, m1 = G.generate(spark, sources, "2025-01-01", count=20)
+    lake = runner.Lake(f"{scratch}/lake")
+    q = ingest_new_batches(spark, sources, lake, f"{scratch}/stream-checkpoint")
+    q.awaitTermination(300)
+    n1 = spark.read.parquet(lake.raw).count()
+    assert n1 == sum(f["records"] for f in m1["files"])
+    _, m2 = G.generate(spark, sources, "2025-01-02", count=30, scenario="late")
+    q = ingest_new_batches(spark, sources, lake, f"{scratch}/stream-checkpoint")
+    q.awaitTermination(300)
+    raw = spark.read.parquet(lake.raw)
+    assert raw.count() == n1 + sum(f["records"] for f in m2["files"])
+    assert raw.select("batch_id").distinct().count() == 2
