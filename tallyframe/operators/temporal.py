@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.operators import sequence
+from tallyframe.session import materialize
 
 MAX_VERSIONS_CONF = "tallyframe.bind.maxVersionsPerKey"
 MAX_VERSIONS_PER_KEY = 64
@@ -40,9 +41,12 @@ def bind(facts: DataFrame, history: DataFrame, fact_key: str, ts: str, history_k
     hk = history_key or fact_key
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
-    if form == "auto":
-        form = choose_form(history, hk)
     h = history.select(F.col(hk).alias("_hk"), "valid_from", "valid_to", *columns)
+    if form == "auto":
+        # The version count and the join both read the (dimension-sized)
+        # history: write its narrow projection once instead of computing it twice.
+        h = materialize(h, "bind-history")
+        form = choose_form(h, "_hk")
     if form == "range":
         f, v = facts.alias("_f"), h.alias("_h")
         t = F.col(f"_f.{ts}")
