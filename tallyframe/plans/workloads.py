@@ -407,6 +407,27 @@ def manifest_integrity(spark, sf):
     return B.check_batch(spark, folder, manifest)
 
 
+def typed_json_scan(spark, sf):
+    """Order facts written as a JSON-lines batch, read back with a declared narrow schema
+    (undeclared fields pruned), cast to fact types and joined to accounts."""
+    from tallyframe.plans import benchmark
+    from tallyframe.sources import batch as B
+    from tallyframe.session import work_dir
+    root = work_dir(spark, "json")
+    t = proxy.transactions(spark, sf)
+    rows = t.select(F.col("transaction_id").cast("bigint").alias("ordinal"), "transaction_id", "account_id",
+                    proxy.iso_utc(F.col("event_at")).alias("event_at"), F.col("amount").cast("string").alias("amount"),
+                    "currency", "status", "direction", "channel", F.lit("1").alias("record_version"))
+    folder, manifest = B.write_batch(spark, root, "2024-02-01", {"transactions": rows}, "orders-json")
+    paths = [f"{folder}/{f['name']}" for f in manifest["files"] if f["entity"] == "transactions"]
+    raw = spark.read.schema("transaction_id STRING, account_id STRING, event_at STRING, amount STRING, "
+                            "currency STRING, status STRING, channel STRING").json(paths)
+    acc = proxy.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("account_id"),
+                                                     F.col("c_custkey").cast("string").alias("customer_id"))
+    return benchmark.join_accounts(benchmark.typed_transactions(raw), acc, "auto").select(
+        "transaction_id", "customer_id", "event_at", "amount", "currency", "status", "channel")
+
+
 # --- flagship ---------------------------------------------------------------------------------
 
 def segment_payments(spark, sf):
@@ -468,4 +489,5 @@ REGISTRY = {
     "export_checksum": export_checksum,
     "file_metadata": file_metadata,
     "manifest_integrity": manifest_integrity,
+    "typed_json_scan": typed_json_scan,
 }
