@@ -71,12 +71,15 @@ def load_stage(spark: SparkSession, lake: Lake, manifest: Mapping, p: Prepared |
         tables.write_version(p.history, lake.history, operation="replace")
         tables.write_version(p.accounts, lake.accounts, operation="replace")
         tables.write_version(scd2.current(p.history), lake.customers, operation="replace")
-        facts = p.transactions
+        # Facts are partitioned by UTC event day; an upsert rewrites only the
+        # days it touches (including a day a correction moves a fact out of).
+        facts = p.transactions.withColumn("event_date", F.to_date("event_at"))
         if current is not None:
             facts = tables.align(facts, tables.read_version(spark, lake.transactions).schema)
         else:
             facts = facts.drop("memo")
-        result = tables.upsert(facts, lake.transactions, ["transaction_id"], ["record_hash", "customer_version_id"])
+        result = tables.upsert(facts, lake.transactions, ["transaction_id"], ["record_hash", "customer_version_id"],
+                               partition_by=["event_date"])
         assert_facts(spark, lake)
         n = tables.read_version(spark, lake.transactions).count()
         return {"changed_count": result["changed_count"], "accepted_count": n}

@@ -2,26 +2,33 @@
 
 Layout under a table folder (any Hadoop-compatible path):
 
-    <table>/data/<n>/           Parquet files of version n (optionally day-partitioned)
-    <table>/_log/<n>/           one JSON row: version, data path, schema DDL, rows, operation
+    <table>/data/<n>/           Parquet files written by version n (optionally partitioned)
+    <table>/_log/<n>/           one JSON row: version, data path, schema DDL, partition column,
+                                rows, operation, parts
 
 A version is committed when its log row exists.  The log row is written
 with ``mode("errorifexists")`` so two writers cannot claim one version
-(optimistic concurrency).  A version may reuse an older version's data
-folder with a wider schema (metadata-only column addition).  Data folders
-are never overwritten while a reader could be using them.
+(optimistic concurrency).  ``parts`` lists the data folders a version
+reads and which partition values each contributes (``include``) or no
+longer contributes (``exclude``): an upsert on a partitioned table
+rewrites only the partitions it touches and inherits the rest without
+copying them.  A version may also reuse an older folder with a wider schema
+(metadata-only column addition).  Data folders are never overwritten, so a
+reader pinned to a version always sees the same rows.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyframe.functions.hashing import fingerprint
 
-LOG_SCHEMA = "version BIGINT, data STRING, schema STRING, partition_by STRING, row_count BIGINT, operation STRING, created_at STRING"
+LOG_SCHEMA = ("version BIGINT, data STRING, schema STRING, partition_by STRING, row_count BIGINT, operation STRING, "
+              "created_at STRING, parts STRING")
 
 
 class SchemaError(ValueError):
@@ -60,16 +67,33 @@ def _entry(spark: SparkSession, table: str, version: int | None) -> dict:
     return row.asDict()
 
 
+def _parts(e: dict) -> list[dict]:
+    return json.loads(e["parts"]) if e.get("parts") else [{"path": e["data"], "include": None, "exclude": []}]
+
+
 def read_version(spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
-    """Read a committed version (default: latest).  Time travel = pass an older id."""
+    """Read a committed version (default: latest).  Time travel = pass an older id.
+
+    Each part is a partition-pruned scan of one data folder (the filter is on
+    the partition column only, so Spark lists and reads just those values).
+    """
     e = _entry(spark, table, version)
-    return spark.read.schema(e["schema"]).option("basePath", e["data"]).parquet(e["data"])
+    pcol = (e["partition_by"] or "").split(",")[0]
+    out = None
+    for part in _parts(e):
+        df = spark.read.schema(e["schema"]).option("basePath", part["path"]).parquet(part["path"])
+        if part.get("include") is not None:
+            df = df.filter(F.col(pcol).cast("string").isin(part["include"]))
+        if part.get("exclude"):
+            df = df.filter(~F.col(pcol).cast("string").isin(part["exclude"]))
+        out = df if out is None else out.unionByName(df)
+    return out
 
 
 def _commit(spark: SparkSession, table: str, version: int, data: str, schema: T.StructType,
-            partition_by: Sequence[str], rows: int, operation: str) -> int:
+            partition_by: Sequence[str], rows: int, operation: str, parts: list[dict] | None = None) -> int:
     row = [(version, data, _ddl(schema), ",".join(partition_by), rows, operation,
-            dt.datetime.now(dt.timezone.utc).isoformat())]
+            dt.datetime.now(dt.timezone.utc).isoformat(), json.dumps(parts) if parts else None)]
     spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("errorifexists").json(
         f"{table}/_log/{version:09d}")
     return version
@@ -122,7 +146,7 @@ def add_column(spark: SparkSession, table: str, name: str, data_type: str) -> in
     check_compatible(old, new)
     return _commit(spark, table, int(e["version"]) + 1, e["data"], new,
                    [p for p in (e["partition_by"] or "").split(",") if p], int(e["row_count"]),
-                   f"add_column {name}")
+                   f"add_column {name}", _parts(e))
 
 
 def change_type(spark: SparkSession, table: str, name: str, data_type: str) -> int:
@@ -171,19 +195,61 @@ def change_count(target: DataFrame, updates: DataFrame, keys: Sequence[str], com
 
 def upsert(updates: DataFrame, table: str, keys: Sequence[str], compare: Sequence[str],
            partition_by: Sequence[str] = ()) -> dict:
-    """Merge ``updates`` into the latest version and commit the result as a new version."""
+    """Merge ``updates`` into the latest version and commit the result as a new version.
+
+    On a table partitioned by one column (e.g. ``event_date``) only the
+    touched partitions are rewritten: the partition values of the updates
+    plus those of the rows they replace (a correction that moves a row to
+    another day empties its old day, which is rewritten too, possibly
+    empty).  Untouched partitions are inherited from their folders.  The
+    touched values are collected to the driver: at most one per partition.
+    """
     spark = updates.sparkSession
     current = latest_version(spark, table)
     if current is None:
-        v = write_version(updates.withColumn("_action", F.lit("inserted")).drop("_action"), table, partition_by,
-                          operation="upsert")
-        return {"version": v, "changed_count": spark.read.parquet(f"{table}/data/{v:09d}").count()}
+        v = write_version(updates, table, partition_by, operation="upsert")
+        return {"version": v, "changed_count": _entry(spark, table, v)["row_count"]}
+    e = _entry(spark, table, current)
     target = read_version(spark, table)
-    merged = merge(target, updates, keys, compare)
-    merged = merged.persist()
+    pcols = [p for p in (e["partition_by"] or "").split(",") if p]
+    if len(pcols) != 1:
+        return _upsert_full(spark, table, target, updates, keys, compare, pcols, current)
+    pcol = pcols[0]
+    upd = align(updates, target.schema)
+    replaced = target.join(upd.select(*keys).distinct(), list(keys), "left_semi")
+    touched = sorted(r[0] for r in upd.select(F.col(pcol).cast("string")).unionByName(
+        replaced.select(F.col(pcol).cast("string"))).distinct().collect() if r[0] is not None)
+    scope = target.filter(F.col(pcol).cast("string").isin(touched))
+    merged = merge(scope, upd, keys, compare).persist()
+    try:
+        counts = {r["_action"]: r["n"] for r in merged.groupBy("_action").agg(F.count(F.lit(1)).alias("n")).collect()}
+        changed = counts.get("inserted", 0) + counts.get("updated", 0)
+        if changed == 0:
+            return {"version": current, "changed_count": 0}
+        version = current + 1
+        data = f"{table}/data/{version:09d}"
+        merged.drop("_action").repartition(pcol).write.mode("errorifexists").partitionBy(pcol).parquet(data)
+        rows = int(e["row_count"]) - scope.count() + sum(counts.values())
+    finally:
+        merged.unpersist()
+    parts = []
+    for part in _parts(e):
+        if part.get("include") is not None:
+            keep = [x for x in part["include"] if x not in set(touched)]
+            if keep:
+                parts.append({"path": part["path"], "include": keep, "exclude": []})
+        else:
+            parts.append({"path": part["path"], "include": None,
+                          "exclude": sorted(set(part.get("exclude") or []) | set(touched))})
+    parts.append({"path": data, "include": touched, "exclude": []})
+    _commit(spark, table, version, data, target.schema, [pcol], rows, "upsert", parts)
+    return {"version": version, "changed_count": changed, "touched_partitions": len(touched)}
+
+
+def _upsert_full(spark, table, target, updates, keys, compare, partition_by, current) -> dict:
+    merged = merge(target, updates, keys, compare).persist()
     try:
-        counts = {r["_action"]: r["row_count"] for r in merged.groupBy("_action").count()
-                  .withColumnRenamed("count", "row_count").collect()}
+        counts = {r["_action"]: r["n"] for r in merged.groupBy("_action").agg(F.count(F.lit(1)).alias("n")).collect()}
         changed = counts.get("inserted", 0) + counts.get("updated", 0)
         if changed == 0:
             return {"version": current, "changed_count": 0}
@@ -210,7 +276,7 @@ def publish_pointer(spark: SparkSession, pointer: str, run_id: str, marts: dict[
     version = 0 if current is None else current + 1
     payload = ",".join(f"{k}={v}" for k, v in sorted(marts.items()))
     row = [(version, payload, "run_id string", "", 0, f"publish {run_id}",
-            dt.datetime.now(dt.timezone.utc).isoformat())]
+            dt.datetime.now(dt.timezone.utc).isoformat(), None)]
     spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("errorifexists").json(
         f"{pointer}/_log/{version:09d}")
     return version

@@ -282,3 +282,25 @@ def test_streaming_ingest_of_new_batches(spark, scratch):
     raw = spark.read.parquet(lake.raw)
     assert raw.count() == n1 + sum(f["records"] for f in m2["files"])
     assert raw.select("batch_id").distinct().count() == 2
+
+
+def test_upsert_rewrites_only_touched_days_and_empties_a_moved_day(spark, scratch):
+    table = f"{scratch}/facts"
+    rows = [("t1", dt.date(2025, 2, 1), "a"), ("t2", dt.date(2025, 2, 1), "b"), ("t3", dt.date(2025, 2, 2), "c"),
+            ("t4", dt.date(2025, 2, 3), "d")]
+    schema = "k string, event_date date, h string"
+    tables.write_version(spark.createDataFrame(rows, schema), table, ["event_date"])
+    # t1 moves 02-01 -> 02-04, t2 moves 02-01 -> 02-02: day 02-01 becomes empty; 02-03 is untouched
+    upd = spark.createDataFrame([("t1", dt.date(2025, 2, 4), "a2"), ("t2", dt.date(2025, 2, 2), "b2"),
+                                 ("t5", dt.date(2025, 2, 5), "e")], schema)
+    r = tables.upsert(upd, table, ["k"], ["h"], partition_by=["event_date"])
+    assert r["changed_count"] == 3 and r["touched_partitions"] == 4
+    got = sorted((x["k"], x["event_date"].isoformat(), x["h"]) for x in tables.read_version(spark, table).collect())
+    assert got == [("t1", "2025-02-04", "a2"), ("t2", "2025-02-02", "b2"), ("t3", "2025-02-02", "c"),
+                   ("t4", "2025-02-03", "d"), ("t5", "2025-02-05", "e")]
+    assert tables._entry(spark, table, None)["row_count"] == 5
+    assert tables.read_version(spark, table, 0).count() == 4
+    again = tables.upsert(upd, table, ["k"], ["h"], partition_by=["event_date"])
+    assert again["changed_count"] == 0
+    c = tables.compact(spark, table, ["event_date"])
+    assert c["row_count"] == 5 and tables.read_version(spark, table).count() == 5
