@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyframe import types as TT
-from tallyframe.operators import temporal
+from tallyframe.operators import sequence, temporal
 
 def _zero() -> Column:
     return F.lit(0).cast(TT.MONEY)
@@ -74,13 +74,13 @@ def historical_turnover(tx: DataFrame, history: DataFrame, form: str = "auto", m
              .agg(F.array_sort(F.collect_set("segment")).alias("historical_segments"),
                   _total("amount").alias("turnover")))
     w = Window.partitionBy("customer_id", "currency").orderBy("payment_date")
-    rank_w = Window.partitionBy("payment_date", "currency").orderBy(F.col("turnover").desc())
-    return (daily
-            .withColumn("cumulative_turnover",
-                        F.sum("turnover").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-                        .cast(TT.TOTAL))
-            .withColumn("previous_active_day_delta", (F.col("turnover") - F.lag("turnover").over(w)).cast(TT.TOTAL))
-            .withColumn("customer_rank", F.dense_rank().over(rank_w)))
+    out = (daily
+           .withColumn("cumulative_turnover",
+                       F.sum("turnover").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+                       .cast(TT.TOTAL))
+           .withColumn("previous_active_day_delta", (F.col("turnover") - F.lag("turnover").over(w)).cast(TT.TOTAL)))
+    # One (day, currency) group holds every customer active that day: rank it skew-safely when large.
+    return sequence.dense_rank(out, ["payment_date", "currency"], "turnover", "customer_rank", method=method)
 
 
 def calendar_fill(totals: DataFrame, start: Column | str | None = None, end: Column | str | None = None,

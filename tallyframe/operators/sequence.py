@@ -116,3 +116,37 @@ def _range_neighbours(df, keys, order, lag, lead, fill, partitions):
     drop = ["_seg", "_first", "_last", "_in_lag", "_in_lead", *[f"_in_fill{i}" for i in range(len(fill))]]
     return out.drop(*[c for c in drop if c in out.columns]).select(*df.columns, *lag.values(),
                                                                     *lead.values(), *fill.values())
+
+
+def dense_rank(df: DataFrame, partition: Sequence[str], order: str, out: str, descending: bool = True,
+               method: str = "auto", partitions: int | None = None) -> DataFrame:
+    """``dense_rank() OVER (PARTITION BY partition ORDER BY order [DESC])`` as column ``out``.
+
+    window: the plain window.  range (skew-safe): the distinct values per
+    group are range-partitioned on (group, value); each segment numbers its
+    values and adds the count of distinct values in the group's earlier
+    segments (a window over at most one row per partition).  The ranks are
+    joined back on (group, value), NULL-safe.
+    """
+    method = choose(df.select(*partition), list(partition), method)
+    by = F.col(order).desc() if descending else F.col(order).asc()
+    if method == "window":
+        return df.withColumn(out, F.dense_rank().over(Window.partitionBy(*partition).orderBy(by)))
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    values = df.select(*partition, order).distinct()
+    seg = materialize(values.repartitionByRange(n, *[F.col(c) for c in partition], by)
+                      .withColumn("_seg", F.spark_partition_id()), "rank-segments")
+    part = [*partition, "_seg"]
+    local = seg.withColumn("_local", F.row_number().over(Window.partitionBy(*part).orderBy(by)))
+    offsets = seg.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_offset", F.coalesce(F.sum("_n").over(Window.partitionBy(*partition).orderBy("_seg")
+                                               .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    ranked = local.join(offsets, part).select(*[F.col(c).alias(f"_r_{c}") for c in (*partition, order)],
+                                              (F.col("_local") + F.col("_offset")).cast("int").alias(out))
+    cond = None
+    for c in (*partition, order):
+        eq = F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+        cond = eq if cond is None else cond & eq
+    joined = df.join(ranked, cond, "left")
+    return joined.drop(*[f"_r_{c}" for c in (*partition, order)])

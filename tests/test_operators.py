@@ -304,3 +304,14 @@ def test_upsert_rewrites_only_touched_days_and_empties_a_moved_day(spark, scratc
     assert again["changed_count"] == 0
     c = tables.compact(spark, table, ["event_date"])
     assert c["row_count"] == 5 and tables.read_version(spark, table).count() == 5
+
+
+@pytest.mark.parametrize("partitions", [1, 4])
+def test_dense_rank_range_equals_window_on_one_hot_group(spark, partitions):
+    e = proxy.table(spark, SMALL_SF, "events")
+    df = e.select(F.lit("2025-01-01").alias("d"), F.lit("RUB").alias("c"), "event_id",
+                  (F.col("event_id") % 37).cast("decimal(38,2)").alias("t"))
+    df = df.unionByName(df.limit(3).withColumn("t", F.lit(None).cast("decimal(38,2)")))
+    a = sequence.dense_rank(df, ["d", "c"], "t", "r", method="window")
+    b = sequence.dense_rank(df, ["d", "c"], "t", "r", method="range", partitions=partitions)
+    assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
