@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyframe import types as TT
 from tallyframe.operators import sequence, temporal
+from tallyframe.session import materialize
 
 def _zero() -> Column:
     return F.lit(0).cast(TT.MONEY)
@@ -73,6 +74,9 @@ def historical_turnover(tx: DataFrame, history: DataFrame, form: str = "auto", m
     daily = (bound.groupBy("customer_id", F.to_date("event_at").alias("payment_date"), "currency")
              .agg(F.array_sort(F.collect_set("segment")).alias("historical_segments"),
                   _total("amount").alias("turnover")))
+    # The daily aggregate (one row per customer-day) feeds two windows and the
+    # rank's group-size check: write it once rather than recompute the binding.
+    daily = materialize(daily, "turnover-daily")
     w = Window.partitionBy("customer_id", "currency").orderBy("payment_date")
     out = (daily
            .withColumn("cumulative_turnover",
