@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession, functions as F
 from tallyframe import types as TT
 from tallyframe.operators import reconcile, scd2, validation
 from tallyframe.plans import journal, publish, tables
-from tallyframe.plans.prepare import Prepared, batch_reject_metrics, prepare
+from tallyframe.plans.prepare import Prepared, prepare
 from tallyframe.sources import batch as B
 
 
@@ -49,11 +49,13 @@ def validate_stage(spark: SparkSession, lake: Lake, manifest: Mapping, maximum:
     own = p is None
     p = p or _prepared(spark, lake)
     try:
-        p.quarantine.write.mode("overwrite").parquet(lake.quarantine)
-        metrics = batch_reject_metrics(p, manifest["batch_id"])
-        metrics["read_count"] = sum(int(f["records"]) for f in manifest["files"])
-        metrics["accepted_count"] = metrics["read_count"] - metrics["rejected_count"]
-        return validation.enforce(metrics, maximum)
+        v = tables.write_version(p.quarantine, lake.quarantine, operation="replace")
+        # counted on the written version (partition-free filter on a small table), not by recomputing
+        rejected = tables.read_version(spark, lake.quarantine, v).filter(
+            F.col("batch_id") == manifest["batch_id"]).count()
+        read = sum(int(f["records"]) for f in manifest["files"])
+        return validation.enforce({"read_count": read, "accepted_count": read - rejected,
+                                   "rejected_count": rejected}, maximum)
     finally:
         if own:
             p.release()
@@ -168,10 +170,11 @@ def backfill(spark: SparkSession, lake: Lake, folders: Sequence[str], maximum: f
         raw_stage(spark, lake, folder, manifest)
     p = _prepared(spark, lake)
     try:
-        p.quarantine.write.mode("overwrite").parquet(lake.quarantine)
+        v = tables.write_version(p.quarantine, lake.quarantine, operation="replace")
         ids = [m["batch_id"] for _, m in manifests]
         reads = {m["batch_id"]: sum(int(f["records"]) for f in m["files"]) for _, m in manifests}
-        rejected = {r["batch_id"]: r["n"] for r in p.quarantine.filter(F.col("batch_id").isin(ids))
+        q = tables.read_version(spark, lake.quarantine, v)
+        rejected = {r["batch_id"]: r["n"] for r in q.filter(F.col("batch_id").isin(ids))
                     .groupBy("batch_id").agg(F.count(F.lit(1)).alias("n")).collect()}
         for bid in ids:
             validation.enforce({"read_count": reads[bid], "rejected_count": rejected.get(bid, 0),

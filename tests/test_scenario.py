@@ -82,7 +82,7 @@ def test_seven_batches(run):
     with pytest.raises(DataQualityError, match="Critical DQ"):
         runner.process(spark, lake, *bad)
     assert _total(spark, lake, "RUB") == Decimal("190.00")
-    q = spark.read.parquet(lake.quarantine).collect()
+    q = tables.read_version(spark, lake.quarantine).collect()
     assert [(r["reason"], r["batch_id"]) for r in q] == [("amount", bad[1]["batch_id"])]
 
     n_before = tables.read_version(spark, lake.transactions).count()
