@@ -23,12 +23,6 @@ def record_hash(*cols: Column | str) -> Column:
     return F.sha2(F.to_json(F.struct(*named)), 256)
 
 
-def sorted_struct_hash(df: DataFrame, struct_col: str) -> Column:
-    """record_hash over a struct whose fields are re-ordered alphabetically."""
-    names = sorted(f.name for f in df.schema[struct_col].dataType.fields)
-    return F.sha2(F.to_json(F.struct(*[F.col(f"{struct_col}.{n}").alias(n) for n in names])), 256)
-
-
 def version_key(key: Column | str, start: Column | str) -> Column:
     """Surrogate key of an SCD2 version: sha256 of ``key|start`` as text."""
     key = F.col(key) if isinstance(key, str) else key

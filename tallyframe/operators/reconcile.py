@@ -93,11 +93,3 @@ def freshness(published: DataFrame, ts_col: str, now: dt.datetime | Column | str
     age = F.unix_timestamp(now_c) - F.unix_timestamp(F.col("last_published_at"))
     return last.select("last_published_at", age.cast("bigint").alias("age_seconds"),
                        (F.col("last_published_at").isNull() | (age > F.lit(max_age_seconds))).alias("is_stale"))
-
-
-def count_check(actual: DataFrame, expected_count: int, label: str = "count") -> dict:
-    """Compare a count with an expected value; returns the metrics, raises on mismatch."""
-    n = actual.count()
-    if n != expected_count:
-        raise ValueError(f"{label} reconciliation failed: {n} != {expected_count}")
-    return {"read_count": expected_count, "accepted_count": n}

@@ -102,10 +102,3 @@ def prepare(raw: DataFrame, form: str = "auto", method: str = "auto", persist: b
                                   ["record_version", "source_updated_at", "record_hash"])
     return Prepared(history=history, accounts=accounts, transactions=latest.select(*cols),
                     quarantine=validation.quarantine(*rejects), checked=checked, parts=list(parts.values()))
-
-
-def batch_reject_metrics(p: Prepared, batch_id: str) -> dict:
-    """read/accepted/rejected counts of one batch (rejects from the retroactive quarantine)."""
-    read = p.checked.filter(F.col("batch_id") == batch_id).count()
-    rejected = p.quarantine.filter(F.col("batch_id") == batch_id).count()
-    return {"read_count": read, "accepted_count": read - rejected, "rejected_count": rejected}
