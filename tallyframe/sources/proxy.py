@@ -25,22 +25,34 @@ from tallyframe import types as TT
 FACT_TABLES = ("orders", "lineitem", "events")
 
 
+_SPLITS: dict[tuple[str, str], int] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return ensure_parallelism(df) if name in FACT_TABLES else df
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    return ensure_parallelism(df, path) if name in FACT_TABLES else df
 
 
-def ensure_parallelism(df: DataFrame) -> DataFrame:
+def ensure_parallelism(df: DataFrame, path: str | None = None) -> DataFrame:
     """Spread an under-split scan over the cluster's cores.
 
     A table stored as one Parquet row group is read by a single task, and
     every per-row expression before the first shuffle would run on it.
     Only such scans (fewer splits than the default parallelism) get a
     round-robin repartition; large, many-file inputs are left untouched,
-    so they never pay an extra shuffle.
+    so they never pay an extra shuffle.  The split count of a path is
+    measured once per application.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    sc = df.sparkSession.sparkContext
+    cores = sc.defaultParallelism
+    key = (sc.applicationId, path or "")
+    splits = _SPLITS.get(key) if path else None
+    if splits is None:
+        splits = df.rdd.getNumPartitions()
+        if path:
+            _SPLITS[key] = splits
+    return df.repartition(cores) if splits < cores else df
 
 
 def currency_of(nationkey: Column) -> Column:
