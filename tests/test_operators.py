@@ -315,3 +315,20 @@ def test_dense_rank_range_equals_window_on_one_hot_group(spark, partitions):
     a = sequence.dense_rank(df, ["d", "c"], "t", "r", method="window")
     b = sequence.dense_rank(df, ["d", "c"], "t", "r", method="range", partitions=partitions)
     assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+
+
+def test_mart_constraints(spark):
+    rows = [("v1", "C", "R", "S", dt.datetime(2025, 1, 1), dt.datetime(2025, 1, 2), False, 1),
+            ("v2", "C", "R", "S", dt.datetime(2025, 1, 2), None, True, 2),
+            ("v3", "D", None, "S", dt.datetime(2025, 1, 1), None, False, 1),
+            ("v4", "E", "R", "S", dt.datetime(2025, 1, 1), None, True, 1),
+            ("v5", "E", "R", "S", dt.datetime(2025, 1, 1), None, True, 2)]
+    h = spark.createDataFrame(rows, "customer_version_id string, customer_id string, region string, segment string, "
+                                    "valid_from timestamp, valid_to timestamp, is_current boolean, change_version bigint")
+    got = {(r["customer_version_id"], r["violation"]) for r in publish.constraint_violations(h, "history").collect()}
+    assert got == {("v3", "not_null:region;current_flag"), ("v4", "unique_start"), ("v5", "unique_start"),
+                   ("v4", "one_current"), ("v5", "one_current")}
+    pay = spark.createDataFrame([(dt.date(2025, 2, 1), "RUB", None, 1, Decimal("1.00"))],
+                                "payment_date date, currency string, channel string, transaction_count bigint, "
+                                "total_amount decimal(38,2)")
+    assert publish.constraint_violations(pay, "payments").first()["violation"] == "not_null:channel"
