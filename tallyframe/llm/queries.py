@@ -2,14 +2,47 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tallyframe.llm.ann import op10_adaptive_scan
 from tallyframe.llm.chat import op9_reply_trees
 from tallyframe.llm.decontaminate import op7_suffix_automaton
+from tallyframe.llm.jaccard import op3_jaccard_prefix_orders
+from tallyframe.llm.langid import op1_viterbi_langid
+from tallyframe.llm.packing import op5_conflict_best_fit
+from tallyframe.llm.paragraphs import op8_paragraph_minhash
+from tallyframe.llm.quality import op4_byte_convnet
 from tallyframe.llm.sharding import op6_hilbert_sharding
+from tallyframe.llm.toxicity import op2_factorization_machine
+
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def with_code(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Let Python workers import this package from the folder the driver imported it from, wherever the job was started."""
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+        return query(spark, sf_dir)
+
+    return run
+
 
-QUERIES = {
+QUERIES = {name: with_code(query) for name, query in {
+    "op1_viterbi_langid": op1_viterbi_langid,
+    "op2_factorization_machine": op2_factorization_machine,
+    "op3_jaccard_prefix_orders": op3_jaccard_prefix_orders,
+    "op4_byte_convnet": op4_byte_convnet,
+    "op5_conflict_best_fit": op5_conflict_best_fit,
     "op6_hilbert_sharding": op6_hilbert_sharding,
     "op7_suffix_automaton": op7_suffix_automaton,
+    "op8_paragraph_minhash": op8_paragraph_minhash,
     "op9_reply_trees": op9_reply_trees,
-}
+    "op10_adaptive_scan": op10_adaptive_scan,
+}.items()}
 
 ORACLES: dict[str, str] = {}
