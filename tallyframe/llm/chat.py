@@ -80,10 +80,10 @@ def branches(messages: DataFrame, keep: int = 1) -> DataFrame:
     while pending:
         p = rounds[-1]
         far = p.select(F.col("node").alias("mid"), F.col("up").alias("far"), F.col("total").alias("far_total"), F.col("steps").alias("far_steps"))
-        step = (p.join(far, F.col("up") == F.col("mid"), "left")
-                .select("node", F.col("far").alias("up"), (F.col("total") + F.coalesce("far_total", F.lit(0.0))).alias("total"),
-                        (F.col("steps") + F.coalesce("far_steps", F.lit(0))).alias("steps")))
-        rounds.append(materialize(step, "reach"))
+        # only messages that have not reached their root are joined; every pointer leads to a known message
+        step = (p.filter("up is not null").join(far, F.col("up") == F.col("mid"))
+                .select("node", F.col("far").alias("up"), (F.col("total") + F.col("far_total")).alias("total"), (F.col("steps") + F.col("far_steps")).alias("steps")))
+        rounds.append(materialize(p.filter("up is null").unionByName(step), "reach"))
         left = rounds[-1].filter("up is not null").count()
         if left == pending:  # only cycles are left
             break

@@ -31,6 +31,8 @@ LAGS = range(3, 21)
 PAD = 512
 GAP = 28
 ROUNDS, BATCH, RATE = 8, 16, 0.01
+#: Updates of a shard between two averages at least (for small samples).
+LEAST_UPDATES = 24
 THRESHOLD = 0.3
 
 
@@ -138,8 +140,10 @@ def _epoch(part: pd.DataFrame, p: dict, r: int) -> dict:
         texts.append(sym[first[0] * STRIDE:(first[0] + windows[0]) * STRIDE + WIDTH - STRIDE])
     y = part["y"].to_numpy(np.float32)
     rng, adam = np.random.default_rng(100 * r + int(part["shard"].iloc[0])), T.Adam(p, RATE)
-    for rows in np.array_split(rng.permutation(len(y)), max(1, len(y) // BATCH)):
-        adam.update(_gradients([texts[i] for i in rows], y[rows], adam.params))
+    batches = max(1, len(y) // BATCH)
+    for _ in range(-(-LEAST_UPDATES // batches)):
+        for rows in np.array_split(rng.permutation(len(y)), batches):
+            adam.update(_gradients([texts[i] for i in rows], y[rows], adam.params))
     return adam.params
 
 

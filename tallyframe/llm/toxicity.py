@@ -28,10 +28,11 @@ TRAIN_ROWS = 12000
 BUCKETS = 1 << 20
 GRAMS = (5, 7)
 TERMS = 2048
-FACTORS = 8
-ROUNDS = 4
-EPOCHS = 6
-LEAST_G = 16.0
+FACTORS = 4
+ROUNDS = 5
+#: Passes over a shard between two averages, and updates at least (for small samples).
+EPOCHS, LEAST_UPDATES = 10, 1500
+LEAST_G = 12.0
 
 
 def _grams(raw: np.ndarray, offsets: np.ndarray):
@@ -121,15 +122,17 @@ def _epochs(part: pd.DataFrame, p: dict, r: int) -> dict:
     for row, active in enumerate(part["active"]):
         x[row, np.asarray(active, np.int64)] = 1
     y = part["y"].to_numpy(np.float32)
-    rng, adam = np.random.default_rng(100 * r + int(part["shard"].iloc[0])), T.Adam(p, 0.02)
-    for _ in range(EPOCHS):
-        for rows in np.array_split(rng.permutation(len(y)), max(1, len(y) // 64)):
+    rng, adam = np.random.default_rng(100 * r + int(part["shard"].iloc[0])), T.Adam(p, 0.01)
+    batches = max(1, len(y) // 32)
+    for _ in range(max(EPOCHS, -(-LEAST_UPDATES // batches))):
+        for rows in np.array_split(rng.permutation(len(y)), batches):
             q, xs = adam.params, x[rows]
             inner = xs @ q["v"]
             d = (T.sigmoid(machine(xs, q)) - y[rows]).astype(np.float32) / len(rows)
             adam.update({"w0": np.array([d.sum()], np.float32), "w": xs.T @ d + 1e-4 * q["w"],
                          "v": xs.T @ (d[:, None] * inner) - q["v"] * (xs.T @ d)[:, None] + 1e-4 * q["v"]})
-    return adam.params
+    unseen = ~x.any(0)
+    return {"w0": adam.params["w0"], "w": np.where(unseen, np.nan, adam.params["w"]), "v": np.where(unseen[:, None], np.nan, adam.params["v"])}
 
 
 class Model:
@@ -162,8 +165,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, keep=None, rows: int =
                     active[r].append(t)
             yield pa.RecordBatch.from_arrays([b.column("shard"), b.column("y"), pa.array(active, pa.list_(pa.int32()))], ["shard", "y", "active"])
 
-    rng = np.random.default_rng(1)
-    params = {"w0": np.zeros(1, np.float32), "w": np.zeros(len(buckets), np.float32), "v": rng.normal(0, 0.02, (len(buckets), FACTORS)).astype(np.float32)}
+    rng, prior = np.random.default_rng(1), sample.agg(F.coalesce(F.avg("y"), F.lit(0.5))).first()[0]
+    params = {"w0": np.array([np.log(max(prior, 1e-3) / max(1 - prior, 1e-3))], np.float32), "w": np.zeros(len(buckets), np.float32), "v": rng.normal(0, 0.02, (len(buckets), FACTORS)).astype(np.float32)}
     active = sample.select("shard", "y", "text").mapInArrow(activate, "shard int, y int, active array<int>")
     return Model(buckets, T.average(active, params, _epochs, ROUNDS))
 

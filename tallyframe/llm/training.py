@@ -40,7 +40,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, k
 def average(sample: DataFrame, params: dict[str, np.ndarray], step: Callable[[pd.DataFrame, dict, int], dict], rounds: int) -> dict[str, np.ndarray]:
     """``rounds`` times: train on every shard from the current parameters, then average by row counts.
 
-    The driver sees one set of parameters per shard, never rows.  ``sample`` (column ``shard``) is written once and reread.
+    A shard returns NaN for parameters that none of its rows touch; they don't dilute what others learnt.  The driver sees one set of parameters per shard, never rows.  ``sample`` (column ``shard``) is written once and reread.
     """
     rows = materialize(sample, "sample")
     for r in range(rounds):
@@ -53,12 +53,18 @@ def average(sample: DataFrame, params: dict[str, np.ndarray], step: Callable[[pd
         parts = rows.groupBy("shard").applyInPandas(train, "shard int, n bigint, params binary").orderBy("shard").collect()
         if not parts:
             return params
-        weight = sum(p["n"] for p in parts)
-        trained = [(p["n"] / weight, pickle.loads(bytes(p["params"]))) for p in parts]
-        params = {k: sum(w * t[k] for w, t in trained).astype(v.dtype) for k, v in params.items()}
+        trained = [(p["n"], pickle.loads(bytes(p["params"]))) for p in parts]
+        params = {k: _mean([(n, t[k]) for n, t in trained], v) for k, v in params.items()}
     return params
 
 
+def _mean(parts: list[tuple[int, np.ndarray]], old: np.ndarray) -> np.ndarray:
+    """Weighted mean over the shards that have learnt a value (NaN: none), else the old value."""
+    weight = sum(n * ~np.isnan(x) for n, x in parts)
+    total = sum(n * np.nan_to_num(x) for n, x in parts)
+    return np.where(weight > 0, total / np.maximum(weight, 1), old).astype(old.dtype)
+
+
 class Adam:
     """Plain Adam updates on a dict of arrays."""
 
