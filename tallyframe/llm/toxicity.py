@@ -6,8 +6,10 @@ From a bounded labelled sample, the terms whose presence depends most on the lab
     f(x) = w0 + sum_j w_j x_j + 1/2 sum_f ((sum_j v_jf x_j)^2 - sum_j v_jf^2 x_j^2)
 
 learns a weight per term and, through the factors v, every pairwise interaction of terms, such as an insult next to the mention of a
-group; a sum of weights alone would miss it.  x_j is 1 if the text has the term, else 0.  Training averages the parameters of
-SHARDS pieces of the sample; scoring is vectorised and reads whole texts.
+group; a sum of weights alone would miss it.  x_j is 1 if the text has the term, else 0.
+
+The sample is bounded (TRAIN_ROWS), and only the chosen terms of its texts are brought together: one task trains on them, because averaging
+the machines of several tasks weakens terms that few of them see.  Scoring is vectorised and reads whole texts.
 
 Defined cases: null and empty texts have no terms and get the score of w0; rows without a label are not learnt from; without any label the
 score is 0.5; equal rows get equal results; an empty table gives no rows; extra columns are ignored.
@@ -29,9 +31,8 @@ BUCKETS = 1 << 20
 GRAMS = (5, 7)
 TERMS = 2048
 FACTORS = 4
-ROUNDS = 5
-#: Passes over a shard between two averages, and updates at least (for small samples).
-EPOCHS, LEAST_UPDATES = 10, 1500
+#: Passes over the sample, and updates at least (for small samples).
+EPOCHS, LEAST_UPDATES = 30, 3000
 LEAST_G = 12.0
 
 
@@ -118,11 +119,12 @@ def machine(x: np.ndarray, p: dict[str, np.ndarray]) -> np.ndarray:
 
 
 def _epochs(part: pd.DataFrame, p: dict, r: int) -> dict:
-    x = np.zeros((len(part), len(p["w"])), np.float32)
-    for row, active in enumerate(part["active"]):
+    rows = sorted((i, y, tuple(a)) for ids, ys, lists in zip(part["ids"], part["ys"], part["active"]) for i, y, a in zip(ids, ys, lists))
+    x = np.zeros((len(rows), len(p["w"])), np.float32)
+    for row, (_, _, active) in enumerate(rows):
         x[row, np.asarray(active, np.int64)] = 1
-    y = part["y"].to_numpy(np.float32)
-    rng, adam = np.random.default_rng(100 * r + int(part["shard"].iloc[0])), T.Adam(p, 0.01)
+    y = np.array([y for _, y, _ in rows], np.float32)
+    rng, adam = np.random.default_rng(7), T.Adam(p, 0.01)
     batches = max(1, len(y) // 32)
     for _ in range(max(EPOCHS, -(-LEAST_UPDATES // batches))):
         for rows in np.array_split(rng.permutation(len(y)), batches):
@@ -131,8 +133,7 @@ def _epochs(part: pd.DataFrame, p: dict, r: int) -> dict:
             d = (T.sigmoid(machine(xs, q)) - y[rows]).astype(np.float32) / len(rows)
             adam.update({"w0": np.array([d.sum()], np.float32), "w": xs.T @ d + 1e-4 * q["w"],
                          "v": xs.T @ (d[:, None] * inner) - q["v"] * (xs.T @ d)[:, None] + 1e-4 * q["v"]})
-    unseen = ~x.any(0)
-    return {"w0": adam.params["w0"], "w": np.where(unseen, np.nan, adam.params["w"]), "v": np.where(unseen[:, None], np.nan, adam.params["v"])}
+    return adam.params
 
 
 class Model:
@@ -159,16 +160,20 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, keep=None, rows: int =
 
     def activate(batches):
         for b in batches:
+            if not b.num_rows:
+                continue
             active: list = [[] for _ in range(b.num_rows)]
             for i, _, row, term in terms(b.column("text"), shared.value):
                 for r, t in zip((i + row).tolist(), term.tolist()):
                     active[r].append(t)
-            yield pa.RecordBatch.from_arrays([b.column("shard"), b.column("y"), pa.array(active, pa.list_(pa.int32()))], ["shard", "y", "active"])
+            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([b.column("doc_id").to_pylist()]), pa.array([b.column("y").to_pylist()], pa.list_(pa.int32())), pa.array([active], pa.list_(pa.list_(pa.int32())))],
+                                             ["shard", "ids", "ys", "active"])
 
     rng, prior = np.random.default_rng(1), sample.agg(F.coalesce(F.avg("y"), F.lit(0.5))).first()[0]
     params = {"w0": np.array([np.log(max(prior, 1e-3) / max(1 - prior, 1e-3))], np.float32), "w": np.zeros(len(buckets), np.float32), "v": rng.normal(0, 0.02, (len(buckets), FACTORS)).astype(np.float32)}
-    active = sample.select("shard", "y", "text").mapInArrow(activate, "shard int, y int, active array<int>")
-    return Model(buckets, T.average(active, params, _epochs, ROUNDS))
+    kind = sample.schema["doc_id"].dataType.simpleString()
+    active = sample.select("doc_id", "y", "text").mapInArrow(activate, f"shard int, ids array<{kind}>, ys array<int>, active array<array<int>>")
+    return Model(buckets, T.average(active, params, _epochs, 1))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
