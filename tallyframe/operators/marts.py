@@ -60,7 +60,7 @@ def daily_rollup(tx: DataFrame, day: Column | str, date_col: str = "event_date")
             .agg(F.count(F.lit(1)).alias("transaction_count"), _total("amount").alias("total_amount")))
 
 
-def historical_turnover(tx: DataFrame, history: DataFrame, form: str = "auto", method: str = "auto") -> DataFrame:
+def historical_turnover(tx: DataFrame, history: DataFrame, form: str = "asof", method: str = "range") -> DataFrame:
     """Turnover by customer x day x currency with the segments valid at event time.
 
     POSTED facts are bound to history (inner, at event time), aggregated
@@ -75,7 +75,7 @@ def historical_turnover(tx: DataFrame, history: DataFrame, form: str = "auto", m
              .agg(F.array_sort(F.collect_set("segment")).alias("historical_segments"),
                   _total("amount").alias("turnover")))
     # The daily aggregate (one row per customer-day) feeds two windows and the
-    # rank's group-size check: write it once rather than recompute the binding.
+    # rank: write it once rather than recompute the binding.
     daily = materialize(daily, "turnover-daily")
     w = Window.partitionBy("customer_id", "currency").orderBy("payment_date")
     out = (daily

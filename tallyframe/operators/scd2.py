@@ -14,7 +14,7 @@ from tallyframe.operators.versions import latest_wins
 def history(changes: DataFrame, key: str, effective_at: Column | str, order_by: Sequence[Column | str],
             attributes: Sequence[str], received_at: str | None = "received_at",
             version_col: str = "customer_version_id", change_version: str | None = "change_version",
-            method: str = "auto") -> DataFrame:
+            method: str = "range") -> DataFrame:
     """Rebuild intervals ``[valid_from, valid_to)`` from the full set of changes.
 
     1. one winner per (key, effective instant): greatest ``order_by`` (the
@@ -30,8 +30,6 @@ def history(changes: DataFrame, key: str, effective_at: Column | str, order_by:
     spellings of one instant fall into one group.  ``method`` picks the
     neighbour computation (see ``sequence.neighbours``).
     """
-    # One skew check on the raw changes (rows per key bound winners per key).
-    method = sequence.choose(changes.select(key), [key], method)
     eff = F.col(effective_at) if isinstance(effective_at, str) else effective_at
     keep = [key, *attributes] + [c for c in (change_version, received_at) if c]
     base = changes.withColumn("valid_from", eff)
@@ -55,7 +53,7 @@ def current(h: DataFrame) -> DataFrame:
     return h.filter(F.col("is_current"))
 
 
-def interval_audit(h: DataFrame, key: str = "customer_id", method: str = "auto") -> DataFrame:
+def interval_audit(h: DataFrame, key: str = "customer_id", method: str = "range") -> DataFrame:
     """Every history row with the checks of a valid interval set.
 
     A row violates when ``valid_to <= valid_from``, when ``is_current`` does
@@ -63,7 +61,6 @@ def interval_audit(h: DataFrame, key: str = "customer_id", method: str = "auto")
     the previous row is open or ends after this row starts.  Two rows of one
     key at the same ``valid_from`` violate through the second rule of the pair.
     """
-    method = sequence.choose(h.select(key), [key], method)
     marked = h.withColumn("_row", F.lit(True))
     out = sequence.neighbours(marked, [key], ["valid_from", "customer_version_id"] if
                               "customer_version_id" in h.columns else ["valid_from"],

@@ -11,45 +11,29 @@ Two physical forms with one result:
   most one row per partition), and is joined back on (key, segment).  No
   group is ever larger than one range partition.
 
-``auto`` measures the largest key (one partial aggregation) and takes the
-window form only when every key fits comfortably in a task.
+The range form is the default: it is linear and its tasks are bounded whatever the keys, so no job measures
+the data first.  The window form runs on request, for callers who know that every key fits in a task.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyframe.session import materialize
 
-MAX_KEY_ROWS_CONF = "tallyframe.sequence.maxKeyRows"
-DEFAULT_MAX_KEY_ROWS = 2_000_000
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
-    return int(row["m"] or 0)
-
-
-def choose(df: DataFrame, keys: Sequence[str], method: str) -> str:
-    if method != "auto":
-        return method
-    limit = int(df.sparkSession.conf.get(MAX_KEY_ROWS_CONF, str(DEFAULT_MAX_KEY_ROWS)))
-    return "range" if largest_group(df, keys) > limit else "window"
-
-
 def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], lag: dict | None = None,
-               lead: dict | None = None, fill: dict | None = None, method: str = "auto",
+               lead: dict | None = None, fill: dict | None = None, method: str = "range",
                partitions: int | None = None) -> DataFrame:
     """Add ``lag[src]``/``lead[src]``/``fill[src]`` output columns.
 
     ``lag``: value of the previous row of the key; ``lead``: of the next row;
     ``fill``: last non-NULL value at or before the row.  ``(keys, order)``
-    must be unique for a deterministic result.
+    must be unique for a deterministic result.  NULL is a key like any other in both forms.
     """
     lag, lead, fill = dict(lag or {}), dict(lead or {}), dict(fill or {})
-    method = choose(df, keys, method)
     if method == "window":
         w = Window.partitionBy(*keys).orderBy(*order)
         out = df
@@ -106,7 +90,10 @@ def _range_neighbours(df, keys, order, lag, lead, fill, partitions):
             ws.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_in_fill{i}"))
     summary = summary.select(*carried)
 
-    out = local.join(summary, part, "left")
+    for c in part:
+        summary = summary.withColumnRenamed(c, f"_s_{c}")
+    same = functools.reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in part])
+    out = local.join(summary, same, "left")
     for src, dst in lag.items():
         out = out.withColumn(dst, F.when(F.col("_first"), F.col(f"_in_lag.{src}")).otherwise(F.col(dst)))
     for src, dst in lead.items():
@@ -119,7 +106,7 @@ def _range_neighbours(df, keys, order, lag, lead, fill, partitions):
 
 
 def dense_rank(df: DataFrame, partition: Sequence[str], order: str, out: str, descending: bool = True,
-               method: str = "auto", partitions: int | None = None) -> DataFrame:
+               method: str = "range", partitions: int | None = None) -> DataFrame:
     """``dense_rank() OVER (PARTITION BY partition ORDER BY order [DESC])`` as column ``out``.
 
     window: the plain window.  range (skew-safe): the distinct values per
@@ -128,7 +115,6 @@ def dense_rank(df: DataFrame, partition: Sequence[str], order: str, out: str, de
     segments (a window over at most one row per partition).  The ranks are
     joined back on (group, value), NULL-safe.
     """
-    method = choose(df.select(*partition), list(partition), method)
     by = F.col(order).desc() if descending else F.col(order).asc()
     if method == "window":
         return df.withColumn(out, F.dense_rank().over(Window.partitionBy(*partition).orderBy(by)))
@@ -142,7 +128,10 @@ def dense_rank(df: DataFrame, partition: Sequence[str], order: str, out: str, de
     offsets = seg.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")).withColumn(
         "_offset", F.coalesce(F.sum("_n").over(Window.partitionBy(*partition).orderBy("_seg")
                                                .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    ranked = local.join(offsets, part).select(*[F.col(c).alias(f"_r_{c}") for c in (*partition, order)],
+    for c in part:
+        offsets = offsets.withColumnRenamed(c, f"_o_{c}")
+    same = functools.reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in part])
+    ranked = local.join(offsets, same).select(*[F.col(c).alias(f"_r_{c}") for c in (*partition, order)],
                                               (F.col("_local") + F.col("_offset")).cast("int").alias(out))
     cond = None
     for c in (*partition, order):

@@ -7,21 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.operators import sequence
-from tallyframe.session import materialize
-
-MAX_VERSIONS_CONF = "tallyframe.bind.maxVersionsPerKey"
-MAX_VERSIONS_PER_KEY = 64
-
-
-def choose_form(history: DataFrame, key: str) -> str:
-    """'range' when every key has few versions (bounded candidate pairs per fact), else 'asof'."""
-    limit = int(history.sparkSession.conf.get(MAX_VERSIONS_CONF, str(MAX_VERSIONS_PER_KEY)))
-    return "asof" if sequence.largest_group(history.select(key), [key]) > limit else "range"
 
 
 def bind(facts: DataFrame, history: DataFrame, fact_key: str, ts: str, history_key: str | None = None,
-         columns: Sequence[str] = ("customer_version_id",), how: str = "left", form: str = "range",
-         method: str = "auto") -> DataFrame:
+         columns: Sequence[str] = ("customer_version_id",), how: str = "left", form: str = "asof",
+         method: str = "range") -> DataFrame:
     """Attach ``columns`` of the version whose ``[valid_from, valid_to)`` holds ``ts``.
 
     form="range": equi join on the key with the interval as residual
@@ -35,18 +25,12 @@ def bind(facts: DataFrame, history: DataFrame, fact_key: str, ts: str, history_k
     The carried version is kept only while ``ts < valid_to``, so both forms
     agree on any set of non-overlapping intervals.
 
-    form="auto": range while no key has more than ``MAX_VERSIONS_PER_KEY``
-    versions (one aggregation over the dimension-sized history), else asof.
+    A fact with a NULL key or NULL time is bound to nothing in either form.
     """
     hk = history_key or fact_key
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
     h = history.select(F.col(hk).alias("_hk"), "valid_from", "valid_to", *columns)
-    if form == "auto":
-        # The version count and the join both read the (dimension-sized)
-        # history: write its narrow projection once instead of computing it twice.
-        h = materialize(h, "bind-history")
-        form = choose_form(h, "_hk")
     if form == "range":
         f, v = facts.alias("_f"), h.alias("_h")
         t = F.col(f"_f.{ts}")
@@ -57,7 +41,6 @@ def bind(facts: DataFrame, history: DataFrame, fact_key: str, ts: str, history_k
     if form != "asof":
         raise ValueError("form must be 'range' or 'asof'")
     fact_cols = facts.columns
-    method = sequence.choose(facts.select(F.col(fact_key).alias("_k")), ["_k"], method)
     f = facts.select(F.col(fact_key).cast(h.schema["_hk"].dataType).alias("_k"), F.col(ts).alias("_t"),
                      F.lit(1).alias("_is_fact"), F.struct(*[F.col(c) for c in fact_cols]).alias("_f"),
                      F.lit(None).cast(_version_type(h, columns)).alias("_v"))
@@ -67,7 +50,7 @@ def bind(facts: DataFrame, history: DataFrame, fact_key: str, ts: str, history_k
     seq = sequence.neighbours(f.unionByName(v), ["_k"], ["_t", "_is_fact"], fill={"_v": "_bound"},
                               method=method)
     out = seq.filter(F.col("_is_fact") == 1)
-    inside = F.col("_bound").isNotNull() & (F.col("_bound.valid_to").isNull() | (F.col("_t") < F.col("_bound.valid_to")))
+    inside = F.col("_k").isNotNull() & F.col("_t").isNotNull() & F.col("_bound").isNotNull() & (F.col("_bound.valid_to").isNull() | (F.col("_t") < F.col("_bound.valid_to")))
     if how == "inner":
         out = out.filter(inside)
     return out.select(*[F.col(f"_f.{c}").alias(c) for c in fact_cols],
@@ -90,8 +73,8 @@ def classify_fk(account_id: Column | str = "account_id", account_currency: Colum
             .otherwise(""))
 
 
-def bind_to_accounts_and_history(tx: DataFrame, accounts: DataFrame, history: DataFrame, form: str = "auto",
-                                 method: str = "auto") -> DataFrame:
+def bind_to_accounts_and_history(tx: DataFrame, accounts: DataFrame, history: DataFrame, form: str = "asof",
+                                 method: str = "range") -> DataFrame:
     """Facts -> account (left) -> customer version at event time (left) + ``fk_reason``.
 
     ``tx`` needs account_id, currency, event_at; ``accounts`` account_id,

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 import time
 
 from pyspark.sql import DataFrame, functions as F
 
 from tallyframe import types as TT
 
-# A side is broadcast only when its row count is at most this (checked, not assumed).
-BROADCAST_MAX_ROWS = 2_000_000
+# A side is broadcast only when its text size is at most this (measured, not assumed).
+BROADCAST_MAX_BYTES = 64 * 1024 ** 2
 
 VARIANTS = {
     "baseline": {"shuffle_partitions": 64, "broadcast": False, "partitioned": False,
@@ -19,9 +20,10 @@ VARIANTS = {
 }
 
 
-def small_enough(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Row-count check before a broadcast (stops counting past the bound)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def small_enough(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether all values, as text and 16 bytes a field, fit the bound (one partial aggregation)."""
+    width = functools.reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + F.lit(16) for c in df.columns])
+    return (df.agg(F.sum(width.cast("long"))).first()[0] or 0) <= max_bytes
 
 
 def join_accounts(tx: DataFrame, accounts: DataFrame, strategy: str = "auto", on: str = "account_id",
@@ -49,37 +51,18 @@ def typed_transactions(raw_json: DataFrame) -> DataFrame:
         "currency", "status", "channel")
 
 
-def date_granularity(df: DataFrame, ts: str, target_bytes: int, row_bytes: int = 128) -> str:
-    """'day' when an average day fills at least 1/8 of a target file, else 'month'.
-
-    Partitioning sparse data by day creates one tiny file per day; the
-    measurement is one aggregation returning two numbers.
-    """
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.to_date(ts)).alias("d")).first()
-    per_day = (row["n"] or 0) / max(row["d"] or 1, 1)
-    return "day" if per_day * row_bytes * 8 >= target_bytes else "month"
-
-
-def write_variant(df: DataFrame, path: str, partitioned: bool, target_bytes: int, row_bytes: int = 128) -> str:
+def write_variant(df: DataFrame, path: str, partitioned: bool, target_bytes: int, row_bytes: int = 128) -> None:
     """Write with a target file size: rows per file = target / estimated row width.
 
-    Partitioned writes add ``event_date`` (and ``event_month`` when days are
-    too sparse to fill files) and cluster rows by partition value first, so
-    each partition directory gets few, full files.  Returns the granularity.
+    Partitioned writes add ``event_date`` and deal rows by day first (Spark's rebalance: sparse days share a
+    task, a large day is split over several), so each day gets few, full files.
     """
     rows_per_file = max(1, target_bytes // row_bytes)
     if not partitioned:
         df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
-        return "none"
-    grain = date_granularity(df, "event_at", target_bytes, row_bytes)
-    out = df.withColumn("event_date", F.to_date("event_at"))
-    part = "event_date"
-    if grain == "month":
-        out = out.withColumn("event_month", F.trunc("event_date", "month"))
-        part = "event_month"
-    (out.repartition(part).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
-     .partitionBy(part).parquet(path))
-    return grain
+        return
+    (df.withColumn("event_date", F.to_date("event_at")).hint("rebalance", F.col("event_date"))
+     .write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy("event_date").parquet(path))
 
 
 def run_variant(spark, tx: DataFrame, accounts: DataFrame, path: str, name: str, day: str) -> dict:
@@ -89,18 +72,13 @@ def run_variant(spark, tx: DataFrame, accounts: DataFrame, path: str, name: str,
     began = time.monotonic()
     joined = join_accounts(tx, accounts, "broadcast" if settings["broadcast"] else "shuffle").select(
         "transaction_id", "customer_id", "event_at", "amount", "currency", "status", "channel")
-    grain = write_variant(joined, path, settings["partitioned"], settings["target_bytes"])
+    write_variant(joined, path, settings["partitioned"], settings["target_bytes"])
     table = spark.read.parquet(path)
     check = table.agg(F.count(F.lit(1)).alias("n"), F.sum("amount").cast(TT.TOTAL).alias("amount")).first()
     filtered_start = time.monotonic()
     d = F.lit(day).cast("date")
-    if grain == "day":
-        rollup = table.filter(F.col("event_date") == d)
-    elif grain == "month":  # prune to the month directory, then filter the day
-        rollup = table.filter((F.col("event_month") == F.trunc(d, "month")) & (F.to_date("event_at") == d))
-    else:
-        rollup = table.filter(F.to_date("event_at") == d)
+    rollup = table.filter((F.col("event_date") if settings["partitioned"] else F.to_date("event_at")) == d)
     rollup.groupBy("currency", "channel").agg(F.sum("amount")).count()
     done = time.monotonic()
-    return {"variant": name, "settings": settings, "granularity": grain, "seconds": done - began,
+    return {"variant": name, "settings": settings, "seconds": done - began,
             "filtered_query_seconds": done - filtered_start, "rows": check["n"], "sum_amount": str(check["amount"])}

@@ -40,7 +40,7 @@ def _p(name: str):
     return F.col(f"p.{name}")
 
 
-def prepare(raw: DataFrame, form: str = "auto", method: str = "auto", persist: bool = True) -> Prepared:
+def prepare(raw: DataFrame, form: str = "asof", method: str = "range", persist: bool = True) -> Prepared:
     """``raw``: entity, payload, batch_id, source_record_id, ingested_at (all batches).
 
     The per-entity checked frames are persisted when ``persist`` (each is
@@ -66,13 +66,9 @@ def prepare(raw: DataFrame, form: str = "auto", method: str = "auto", persist: b
     # history is dimension-sized and read by four later plans (known keys,
     # accounts filter, orphan check, binding): it is written once to the
     # shared work folder (lineage cut, computed once, survives executor loss).
-    # The valid changes feed the SCD2 skew check and the history build: parse once.
-    cust = materialize(cust, "changes")
     history = scd2.history(cust, "customer_id", "effective_at", ["change_version", "record_hash"],
                            ["region", "segment"], method=method)
     history = materialize(history, "history")
-    if form == "auto":  # decided once, on the written history
-        form = temporal.choose_form(history, "customer_id")
     known = history.select("customer_id").distinct()
 
     acc_valid = halves["accounts"][0]

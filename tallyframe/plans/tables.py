@@ -23,9 +23,10 @@ import datetime as dt
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallyframe.functions.hashing import fingerprint
+from tallyframe.session import materialize, path_exists
 
 LOG_SCHEMA = ("version BIGINT, data STRING, schema STRING, partition_by STRING, row_count BIGINT, operation STRING, "
               "created_at STRING, parts STRING")
@@ -36,10 +37,9 @@ class SchemaError(ValueError):
 
 
 def _log(spark: SparkSession, table: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(LOG_SCHEMA).json(f"{table}/_log/*")
-    except Exception:  # noqa: BLE001  (no version yet: the glob matches nothing)
+    if not path_exists(spark, f"{table}/_log/*"):
         return None
+    return spark.read.schema(LOG_SCHEMA).json(f"{table}/_log/*")
 
 
 def versions(spark: SparkSession, table: str) -> DataFrame:
@@ -83,13 +83,21 @@ def read_version(spark: SparkSession, table: str, version: int | None = None) ->
     for part in _parts(e):
         df = spark.read.schema(e["schema"]).option("basePath", part["path"]).parquet(part["path"])
         if part.get("include") is not None:
-            df = df.filter(F.col(pcol).cast("string").isin(part["include"]))
+            df = df.filter(_one_of(pcol, part["include"]))
         if part.get("exclude"):
-            df = df.filter(~F.col(pcol).cast("string").isin(part["exclude"]))
+            df = df.filter(~_one_of(pcol, part["exclude"]))
         out = df if out is None else out.unionByName(df)
     return out
 
 
+def _one_of(column: str, values: list) -> Column:
+    """Whether the column's text is one of ``values``; None stands for NULL (never NULL itself)."""
+    text = F.col(column).cast("string")
+    named = [v for v in values if v is not None]
+    found = F.coalesce(text.isin(named), F.lit(False)) if named else F.lit(False)
+    return found | text.isNull() if None in values else found
+
+
 def _commit(spark: SparkSession, table: str, version: int, data: str, schema: T.StructType,
             partition_by: Sequence[str], rows: int, operation: str, parts: list[dict] | None = None) -> int:
     row = [(version, data, _ddl(schema), ",".join(partition_by), rows, operation,
@@ -104,15 +112,19 @@ def _ddl(schema: T.StructType) -> str:
 
 
 def write_version(df: DataFrame, table: str, partition_by: Sequence[str] = (), operation: str = "write",
-                  files_per_partition: int | None = None) -> int:
-    """Write ``df`` as the next version and commit it; returns the version id."""
+                  rebalance: bool = False) -> int:
+    """Write ``df`` as the next version and commit it; returns the version id.
+
+    ``rebalance`` evens out the files: rows are dealt by partition value, small values share a task, and a value
+    too large for one task is split over several (Spark's rebalance hint).
+    """
     spark = df.sparkSession
     current = latest_version(spark, table)
     version = 0 if current is None else current + 1
     data = f"{table}/data/{version:09d}"
     out = df
-    if partition_by and files_per_partition:
-        out = df.repartition(int(files_per_partition), *partition_by)
+    if rebalance:
+        out = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = out.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -150,17 +162,23 @@ def add_column(spark: SparkSession, table: str, name: str, data_type: str) -> in
 
 
 def change_type(spark: SparkSession, table: str, name: str, data_type: str) -> int:
-    """Type changes are refused (raises SchemaError); kept as the explicit guard."""
+    """Only the present type is accepted (returns the latest version); any other raises SchemaError."""
+    e = _entry(spark, table, None)
     old = read_version(spark, table).schema
     new = T.StructType([T.StructField(f.name, T.DataType.fromDDL(data_type) if f.name == name else f.dataType,
                                       f.nullable) for f in old.fields])
     check_compatible(old, new)
-    raise SchemaError("no type change to apply")
+    return int(e["version"])
 
 
 def align(df: DataFrame, target: T.StructType) -> DataFrame:
-    """Project onto the target's columns; a missing nullable column becomes NULL."""
+    """Project onto the target's columns; a missing nullable column becomes NULL.
+
+    A column that the target does not have is refused: its values would be lost.  Callers drop it on purpose, or migrate the target.
+    """
     names = set(df.columns)
+    if extra := sorted(names - set(target.names)):
+        raise SchemaError(f"the target has no column {', '.join(extra)}")
     return df.select(*[(F.col(f.name) if f.name in names else F.lit(None)).cast(f.dataType).alias(f.name)
                        for f in target.fields])
 
@@ -171,11 +189,11 @@ def merge(target: DataFrame, updates: DataFrame, keys: Sequence[str], compare: S
     Returns the merged rows with ``_action``: ``inserted`` (new key),
     ``updated`` (some ``compare`` column differs; plain ``<>`` as in a MERGE
     condition), ``same`` (matched, unchanged: target row kept) or ``kept``
-    (target row without update).  Updates must be unique per key.
+    (target row without update).  Two updates of one key fail the job, as in a MERGE statement.
     """
     cols = [c for c in target.columns if c not in keys]
     t = target.select(*keys, F.struct(*cols).alias("_t"), F.lit(True).alias("_in_t"))
-    u = align(updates, target.schema).select(*keys, F.struct(*cols).alias("_u"), F.lit(True).alias("_in_u"))
+    u = _one_per_key(align(updates, target.schema), keys, F.struct(*cols)).withColumnRenamed("_row", "_u").withColumn("_in_u", F.lit(True))
     j = t.join(u, list(keys), "full")
     changed = F.lit(False)
     for c in compare:
@@ -188,6 +206,23 @@ def merge(target: DataFrame, updates: DataFrame, keys: Sequence[str], compare: S
                     "_action").select(*target.columns, "_action")
 
 
+def _one_per_key(updates: DataFrame, keys: Sequence[str], row: Column) -> DataFrame:
+    """keys and ``_row``; evaluating a key that occurs twice raises (same exchange as the join on the keys)."""
+    found = updates.groupBy(*keys).agg(F.first(row).alias("_row"), F.count(F.lit(1)).alias("_n"))
+    return found.select(*keys, F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("two updates of key "), F.to_json(F.struct(*keys)))).cast(
+        found.schema["_row"].dataType)).otherwise(F.col("_row")).alias("_row"))
+
+
+def changed_rows(target: DataFrame, updates: DataFrame, keys: Sequence[str], compare: Sequence[str], partition: str) -> DataFrame:
+    """The updates that are new or differ in a ``compare`` column, with ``_old``: the partition of the row they replace, and ``_new`` (no such row)."""
+    t = target.select(*keys, F.struct(*compare).alias("_t"), F.col(partition).alias("_old"), F.lit(True).alias("_in_t"))
+    differs = F.lit(False)
+    for c in compare:
+        differs = differs | F.coalesce(F.col(f"_t.{c}") != F.col(c), F.lit(False))
+    return (updates.join(t, list(keys), "left").filter(F.col("_in_t").isNull() | differs)
+            .withColumn("_new", F.col("_in_t").isNull()).drop("_t", "_in_t"))
+
+
 def change_count(target: DataFrame, updates: DataFrame, keys: Sequence[str], compare: Sequence[str]) -> DataFrame:
     """Counts per action of a prospective merge (one row per action)."""
     return merge(target, updates, keys, compare).groupBy("_action").agg(F.count(F.lit(1)).alias("row_count"))
@@ -197,12 +232,10 @@ def upsert(updates: DataFrame, table: str, keys: Sequence[str], compare: Sequenc
            partition_by: Sequence[str] = ()) -> dict:
     """Merge ``updates`` into the latest version and commit the result as a new version.
 
-    On a table partitioned by one column (e.g. ``event_date``) only the
-    touched partitions are rewritten: the partition values of the updates
-    plus those of the rows they replace (a correction that moves a row to
-    another day empties its old day, which is rewritten too, possibly
-    empty).  Untouched partitions are inherited from their folders.  The
-    touched values are collected to the driver: at most one per partition.
+    The change set comes first: updates that are new or differ.  On a table partitioned by one column (e.g. ``event_date``)
+    only the partitions that it touches are rewritten: those of the changed rows and of the rows they replace (a correction that moves a row to
+    another day empties its old day, which is rewritten too, possibly empty; NULL is a partition like any other).
+    Untouched partitions are inherited from their folders.  The touched values are collected to the driver: at most one per partition.
     """
     spark = updates.sparkSession
     current = latest_version(spark, table)
@@ -215,12 +248,13 @@ def upsert(updates: DataFrame, table: str, keys: Sequence[str], compare: Sequenc
     if len(pcols) != 1:
         return _upsert_full(spark, table, target, updates, keys, compare, pcols, current)
     pcol = pcols[0]
-    upd = align(updates, target.schema)
-    replaced = target.join(upd.select(*keys).distinct(), list(keys), "left_semi")
-    touched = sorted(r[0] for r in upd.select(F.col(pcol).cast("string")).unionByName(
-        replaced.select(F.col(pcol).cast("string"))).distinct().collect() if r[0] is not None)
-    scope = target.filter(F.col(pcol).cast("string").isin(touched))
-    merged = merge(scope, upd, keys, compare).persist()
+    changes = materialize(changed_rows(target, align(updates, target.schema), keys, compare, pcol), "changes")
+    days = changes.select(F.col(pcol).cast("string").alias("p")).unionByName(changes.filter("not _new").select(F.col("_old").cast("string").alias("p")))
+    touched = sorted((r["p"] for r in days.distinct().collect()), key=lambda v: (v is not None, v))
+    if not touched:
+        return {"version": current, "changed_count": 0, "touched_partitions": 0}
+    scope = target.filter(_one_of(pcol, touched))
+    merged = merge(scope, changes.drop("_old", "_new"), keys, compare).persist()
     try:
         counts = {r["_action"]: r["n"] for r in merged.groupBy("_action").agg(F.count(F.lit(1)).alias("n")).collect()}
         changed = counts.get("inserted", 0) + counts.get("updated", 0)
@@ -228,19 +262,19 @@ def upsert(updates: DataFrame, table: str, keys: Sequence[str], compare: Sequenc
             return {"version": current, "changed_count": 0}
         version = current + 1
         data = f"{table}/data/{version:09d}"
-        merged.drop("_action").repartition(pcol).write.mode("errorifexists").partitionBy(pcol).parquet(data)
+        merged.drop("_action").hint("rebalance", F.col(pcol)).write.mode("errorifexists").partitionBy(pcol).parquet(data)
         rows = int(e["row_count"]) - scope.count() + sum(counts.values())
     finally:
         merged.unpersist()
     parts = []
     for part in _parts(e):
         if part.get("include") is not None:
-            keep = [x for x in part["include"] if x not in set(touched)]
+            keep = [x for x in part["include"] if x not in touched]
             if keep:
                 parts.append({"path": part["path"], "include": keep, "exclude": []})
         else:
             parts.append({"path": part["path"], "include": None,
-                          "exclude": sorted(set(part.get("exclude") or []) | set(touched))})
+                          "exclude": sorted(set(part.get("exclude") or []) | set(touched), key=lambda v: (v is not None, v))})
     parts.append({"path": data, "include": touched, "exclude": []})
     _commit(spark, table, version, data, target.schema, [pcol], rows, "upsert", parts)
     return {"version": version, "changed_count": changed, "touched_partitions": len(touched)}
@@ -259,11 +293,11 @@ def _upsert_full(spark, table, target, updates, keys, compare, partition_by, cur
     return {"version": v, "changed_count": changed}
 
 
-def compact(spark: SparkSession, table: str, partition_by: Sequence[str], files_per_partition: int = 1) -> dict:
-    """Rewrite the latest version into fewer files per partition; the fingerprint must not change."""
+def compact(spark: SparkSession, table: str, partition_by: Sequence[str]) -> dict:
+    """Rewrite the latest version into few, even files per partition; the fingerprint must not change."""
     before = read_version(spark, table)
     fp_before = fingerprint(before).first()
-    v = write_version(before, table, partition_by, operation="compact", files_per_partition=files_per_partition)
+    v = write_version(before, table, partition_by, operation="compact", rebalance=True)
     fp_after = fingerprint(read_version(spark, table, v)).first()
     if fp_before != fp_after:
         raise ValueError("compaction changed the table contents")

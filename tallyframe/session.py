@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+#: Work folders made so far, by application.
+_MADE: dict[str, list[str]] = {}
+
 # Settings every job relies on: UTC day boundaries, AQE for runtime
 # re-planning (partition coalescing, skew-join splitting, broadcast
 # conversion), ANSI casts (operators use try_cast where input may be bad).
@@ -60,22 +62,35 @@ def work_dir(spark: SparkSession, name: str | None = None) -> str:
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
     path = f"{root.rstrip('/')}/{name or 'work'}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    elif "://" not in path:
-        os.makedirs(path, exist_ok=True)
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure ``DataFrame.checkpoint()`` has a reliable folder to write to."""
-    root = _checkpoint_dir(spark)
-    if root is None:
-        work_dir(spark)
-        root = _checkpoint_dir(spark)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+def _file_system(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path matches (glob allowed); errors of the file system are not hidden."""
+    fs, path = _file_system(spark, pattern)
+    found = fs.globStatus(path)
+    return found is not None and len(found) > 0
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    fs, path = _file_system(spark, old)
+    if not fs.rename(path, spark._jvm.org.apache.hadoop.fs.Path(new)):
+        raise OSError(f"cannot rename {old} to {new}")
+
+
+def release_work(spark: SparkSession) -> int:
+    """Delete the work folders this application made; frames that read them cannot be used any more."""
+    paths = _MADE.pop(spark.sparkContext.applicationId, [])
+    for p in paths:
+        fs, path = _file_system(spark, p)
+        fs.delete(path, True)
+    return len(paths)
 
 
 def materialize(df, name: str = "stage"):

@@ -78,16 +78,6 @@ def test_sequence_range_equals_window_on_a_hot_key(spark, partitions):
     assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
 
 
-def test_auto_picks_range_above_the_key_limit(spark):
-    df = _hot(spark)
-    spark.conf.set(sequence.MAX_KEY_ROWS_CONF, "10")
-    try:
-        assert sequence.choose(df, ["k"], "auto") == "range"
-    finally:
-        spark.conf.unset(sequence.MAX_KEY_ROWS_CONF)
-    assert sequence.choose(df, ["k"], "auto") == "window"
-
-
 def test_scd2_methods_agree_and_history_is_valid(spark):
     ch = proxy.customer_changes(spark, SMALL_SF)
     args = ("customer_id", "effective_at", ["change_version", "record_hash"], ["region", "segment"])

@@ -72,10 +72,18 @@ def test_seven_batches(run):
     assert tx.join(hist, "customer_version_id").filter("segment <> 'PREMIUM'").count() == 0
 
     before = _marts(spark, lake)
-    for failure in ("before-publish", "inside-publish", "reconcile"):
-        with pytest.raises((RuntimeError, ValueError), match="Injected"):
-            runner.process(spark, lake, *recovery, failure=failure)
+    def broken(*_, **__):
+        raise RuntimeError("this step fails in the test")
+
+    for step in ("stage", "reconcile_run", "publish"):
+        with pytest.MonkeyPatch.context() as patch, pytest.raises(RuntimeError, match="fails in the test"):
+            patch.setattr(publish, step, broken)
+            runner.process(spark, lake, *recovery)
         assert _marts(spark, lake) == before
+    with pytest.MonkeyPatch.context() as patch, pytest.raises(RuntimeError, match="fails in the test"):
+        patch.setattr(tables, "publish_pointer", broken)  # after the marts were copied
+        runner.process(spark, lake, *recovery)
+    assert _marts(spark, lake) == before
     runner.process(spark, lake, *recovery)
     assert _mart_totals(spark, lake) == {"RUB": Decimal("190.00"), "USD": Decimal("7.50")}
 
