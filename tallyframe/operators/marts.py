@@ -97,15 +97,16 @@ def calendar_fill(totals: DataFrame, start: Column | str | None = None, end: Col
     ``start``/``end`` default to the first and last day present (one scalar
     row reaches the driver).
     """
+    # the grid's values, its bounds and the sums all come from one aggregate
+    sums = materialize(totals.groupBy(date_col, *dims).agg(_total(value).alias("turnover")), "calendar")
     if start is None or end is None:
-        bounds = totals.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
+        bounds = sums.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
         start = F.lit(bounds["lo"]) if start is None else start
         end = F.lit(bounds["hi"]) if end is None else end
     start = F.lit(start).cast("date") if isinstance(start, str) else start
     end = F.lit(end).cast("date") if isinstance(end, str) else end
-    values = totals.select(*dims).distinct()
+    values = sums.select(*dims).distinct()
     grid = values.select(*dims, F.explode(F.sequence(start, end, F.expr("INTERVAL 1 DAY"))).alias(date_col))
-    sums = totals.groupBy(date_col, *dims).agg(_total(value).alias("turnover"))
     full = grid.join(sums, [date_col, *dims], "left").withColumn(
         "turnover", F.coalesce(F.col("turnover"), F.lit(0).cast(TT.TOTAL)))
     w = Window.partitionBy(*dims).orderBy(date_col)

@@ -38,6 +38,8 @@ def history(changes: DataFrame, key: str, effective_at: Column | str, order_by:
         [key, "valid_from"], [f"_w{i}" for i in range(len(order_by))])
     winners = winners.select(*keep, "valid_from",
                              F.struct(*[F.col(a) for a in attributes]).alias("_attrs"))
+    if method == "range":  # one segmentation serves both passes
+        winners, method = sequence.segments(winners, [key], ["valid_from"]), "segmented"
     flagged = sequence.neighbours(winners, [key], ["valid_from"], lag={"_attrs": "_prev_attrs"},
                                   method=method)
     kept = flagged.filter(F.col("_prev_attrs").isNull() | ~F.col("_prev_attrs").eqNullSafe(F.col("_attrs")))

@@ -45,19 +45,24 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], lag: di
         for src, dst in fill.items():
             out = out.withColumn(dst, F.last(src, ignorenulls=True).over(wf))
         return out
-    if method != "range":
+    if method == "range":
+        return _segment_neighbours(segments(df, keys, order, partitions), keys, order, lag, lead, fill).drop("_seg")
+    if method != "segmented":
         raise ValueError(f"unknown method {method}")
-    return _range_neighbours(df, keys, order, lag, lead, fill, partitions)
+    return _segment_neighbours(df, keys, order, lag, lead, fill)
 
 
-def _range_neighbours(df, keys, order, lag, lead, fill, partitions):
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Segment ids must stay fixed between the passes below, so the range
-    # partitioning is materialised once in the shared work folder (survives
-    # executor loss) instead of being re-sampled by each later job.
-    seg = materialize(df.repartitionByRange(n, *keys, *order).withColumn("_seg", F.spark_partition_id()),
-                      "segments")
+def segments(df: DataFrame, keys: Sequence[str], order: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """``df`` range-partitioned on (keys, order) with the partition as ``_seg``, for ``method="segmented"``.
+
+    Segment ids must stay fixed between passes, so the partitioning is written once to the shared work folder
+    (survives executor loss) instead of being re-sampled by each later job.  Several passes may use it, also after a filter.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(df.repartitionByRange(n, *keys, *order).withColumn("_seg", F.spark_partition_id()), "segments")
+
+
+def _segment_neighbours(seg, keys, order, lag, lead, fill):
     part = [*keys, "_seg"]
     w = Window.partitionBy(*part).orderBy(*order)
     wf = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -100,9 +105,7 @@ def _range_neighbours(df, keys, order, lag, lead, fill, partitions):
         out = out.withColumn(dst, F.when(F.col("_last"), F.col(f"_in_lead.{src}")).otherwise(F.col(dst)))
     for i, (src, dst) in enumerate(fill.items()):
         out = out.withColumn(dst, F.coalesce(F.col(dst), F.col(f"_in_fill{i}")))
-    drop = ["_seg", "_first", "_last", "_in_lag", "_in_lead", *[f"_in_fill{i}" for i in range(len(fill))]]
-    return out.drop(*[c for c in drop if c in out.columns]).select(*df.columns, *lag.values(),
-                                                                    *lead.values(), *fill.values())
+    return out.select(*seg.columns, *lag.values(), *lead.values(), *fill.values())
 
 
 def dense_rank(df: DataFrame, partition: Sequence[str], order: str, out: str, descending: bool = True,

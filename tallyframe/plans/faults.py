@@ -16,7 +16,7 @@ from tallyframe.plans import tables
 from tallyframe.plans import workloads as W
 from tallyframe.sources import batch as B
 from tallyframe.sources import proxy
-from tallyframe.session import work_dir
+from tallyframe.session import materialize, work_dir
 
 #: Faults of transaction records: order key modulo TRANSACTION_MODULUS -> (field, faulty text; None is a missing field).
 TRANSACTION_MODULUS = 23
@@ -113,7 +113,7 @@ def mart_constraint_violations(spark, sf):
 
 def version_join(spark, sf):
     """Bound purchases joined to the history on the version id (inner)."""
-    h = W._history(spark, sf)
+    h = materialize(W._history(spark, sf), "history")
     bound = temporal.bind(proxy.purchase_facts(spark, sf).select("event_id", "customer_id", "event_at"), h, "customer_id", "event_at", columns=("customer_version_id",))
     return bound.join(h.select("customer_version_id", "segment", "region", "valid_from"), "customer_version_id").select("event_id", "customer_version_id", "segment", "region", "valid_from")
 
@@ -144,7 +144,7 @@ def fk_classification_faults(spark, sf):
 
 def fact_reference_faults(spark, sf):
     """Bound purchases of which every ninth names a version that does not exist; all bound purchases, each marked."""
-    h = W._history(spark, sf)
+    h = materialize(W._history(spark, sf), "history")
     facts = proxy.purchase_facts(spark, sf).withColumn("account_id", F.col("customer_id"))
     bound = temporal.bind(facts, h, "customer_id", "event_at", columns=("customer_version_id",), how="inner")
     bound = bound.withColumn("customer_version_id", F.when(F.col("event_id") % 9 == 0, version_key("customer_id", "event_at")).otherwise(F.col("customer_version_id")))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyframe import types as TT
 from tallyframe.functions.hashing import fingerprint
 from tallyframe.operators import marts, reconcile, scd2, temporal, validation, versions
+from tallyframe.session import materialize
 from tallyframe.sources import proxy
 
 FRESHNESS_NOW = "2024-02-01 00:00:00"
@@ -286,7 +287,7 @@ def upsert_change_count(spark, sf):
 
 def fact_reference_violations(spark, sf):
     """Order facts bound to the customer version at order time, audited against accounts and history."""
-    h = _history(spark, sf)
+    h = materialize(_history(spark, sf), "history")
     tx = temporal.bind(proxy.transactions(spark, sf), h, "customer_id", "event_at",
                        columns=("customer_version_id",), how="left")
     bad = reconcile.fact_reference_violations(tx, _accounts_typed(spark, sf), h)
