@@ -19,6 +19,13 @@ ACCOUNT_STATUSES = ("ACTIVE", "CLOSED")
 TRANSACTION_STATUSES = ("POSTED", "PENDING", "CANCELLED")
 DIRECTIONS = ("IN", "OUT")
 CHANNELS = ("CARD", "TRANSFER", "ATM")
+# Field checks of each entity after the required fields; their order is the order of reason codes.
+CONTRACT = {
+    "customers": {"change_version": "version", "effective_at": "utc timestamp", "segment": SEGMENTS},
+    "accounts": {"record_version": "version", "currency": CURRENCIES, "status": ACCOUNT_STATUSES, "opened_at": "date"},
+    "transactions": {"record_version": "version", "currency": CURRENCIES, "event_at": "utc timestamp", "source_updated_at": "utc timestamp",
+                     "amount": "money", "status": TRANSACTION_STATUSES, "direction": DIRECTIONS, "channel": CHANNELS},
+}
 MONEY = T.DecimalType(18, 2)
 TOTAL = T.DecimalType(38, 2)
 DEFAULT_MAX_REJECT_RATIO = 0.10
@@ -51,9 +58,6 @@ TRANSACTION_COLUMNS = ("transaction_id", "account_id", "customer_id", "customer_
                        "source_updated_at", "received_at", "record_version", "amount", "currency", "status",
                        "direction", "channel", "record_hash")
 
-HISTORY_COLUMNS = ("customer_version_id", "customer_id", "region", "segment", "valid_from", "valid_to",
-                   "change_version", "received_at", "is_current")
-
 ACCOUNT_COLUMNS = ("account_id", "customer_id", "currency", "opened_at", "status", "record_version",
                    "received_at")
 
