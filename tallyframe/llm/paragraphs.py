@@ -4,7 +4,7 @@ Paragraphs are compared as sets of 5-word shingles.  Two kinds are cut from ever
 
 * lines of at least LINE_WORDS words.  BANDS bands of ROWS MinHash values are tuned for recall at the similarity of 0.75
   (1 - (1 - 0.75 ** 2) ** 6 = 0.993); lines that collide in a band are joined into candidate groups, verified by their exact
-  Jaccard similarity, and the verified links are clustered by components;
+  Jaccard similarity (on 32 bits of each shingle's hash), and the verified links are clustered by components;
 * pieces of PIECE_WORDS words at content-chosen places (the smallest hash of each WINDOW consecutive
   places), whatever the line breaks.  Equal pieces form a cluster.  Any run of PIECE_WORDS + WINDOW - 1 = 51 words that two
   texts share holds at least one common piece, so a passage of over 50 words is found wherever it was put in.
@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm import words as W
 from tallyframe.llm.components import components
-from tallyframe.llm.jaccard import SHINGLE, _eight, _six, set_keys, similar, tile_links
+from tallyframe.llm.jaccard import SHINGLE, set_keys, similar, tile_links
+from tallyframe.llm.sieve import sieve
 from tallyframe.session import materialize
 
 LINE_WORDS = 20
@@ -109,7 +110,8 @@ def units(docs: DataFrame) -> DataFrame:
                             bands[:, k] = bands[:, k] * np.uint64(0x9E3779B97F4A7C15) + least
                         bands[:, k] = W.mix(bands[:, k] + np.uint64(k))
                 text = np.searchsorted(per_text, lines[:-1][long], "right") - 1 if len(long) else np.zeros(0, np.int64)
-                blob = [_six(tokens[x:y]) for x, y in zip(t_off[:-1].tolist(), t_off[1:].tolist())]
+                short = (tokens >> np.uint64(16)).astype(np.uint32)
+                blob = [short[x:y].tobytes() for x, y in zip(t_off[:-1].tolist(), t_off[1:].tolist())]
                 where = pa.array(text + i)
                 begin = (lines[:-1][long] - per_text[text]) if len(long) else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -143,11 +145,12 @@ def _long_grams(h: np.ndarray, per_text: np.ndarray) -> tuple[np.ndarray, np.nda
 def line_clusters(lines: DataFrame) -> DataFrame:
     """(node, root): line classes joined to a smaller class by verified similarity."""
     bands = lines.select("key", F.explode("bands").alias("band"))
-    least = bands.groupBy("band").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo <> hi").select(F.col("band").alias("b"), "lo")
+    least = materialize(bands.groupBy("band").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo <> hi").select(F.col("band").alias("b"), "lo"), "bands")
+    bands = sieve(bands, "band", least, "b")
     near = components(bands.join(least, F.col("band") == F.col("b")).filter("key <> lo").select("key", "lo").distinct(), "key", "lo")
     groups = near.select(F.col("node").alias("k"), F.col("root").alias("group_id")).unionByName(
         near.select(F.col("root").alias("k"), F.col("root").alias("group_id")).distinct())
-    members = (lines.join(groups, F.col("key") == F.col("k")).groupBy("key", "group_id")
+    members = (sieve(lines, "key", groups, "k").join(groups, F.col("key") == F.col("k")).groupBy("key", "group_id")
                .agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("shared").alias("shared")))
 
     def verify(group: pd.DataFrame):
@@ -159,7 +162,7 @@ def line_clusters(lines: DataFrame) -> DataFrame:
                 found |= marks[:, k][:, None] == marks[:, k]
             return found
 
-        return similar([_eight(x) for x in group["shared"]], group["n"].to_numpy(np.int64), collide)
+        return similar([np.unique(np.frombuffer(x, np.uint32)) for x in group["shared"]], group["n"].to_numpy(np.int64), collide)
 
     return components(tile_links(members, "bands", ["n", "bands", "shared"], verify), "a", "b")
 
@@ -179,8 +182,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     root = line_clusters(lines.select("key", "n", "bands", "shared"))
     in_class = (lines.select("d", "doc_id", "start", "stop", "key").join(root, F.col("key") == F.col("node"), "left")
                 .select("d", "doc_id", "start", "stop", F.coalesce("root", "key").alias("key")))
-    spans = _later(in_class, "key").unionByName(_later(pieces, "key")).distinct()
-    return spans.groupBy("d").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "cluster", "kept"))).alias("spans"))
+    several = materialize(pieces.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("key").alias("k")), "several")
+    spans = _later(in_class, "key").unionByName(_later(sieve(pieces, "key", several, "k"), "key")).distinct()
+    return materialize(spans.groupBy("d").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "cluster", "kept"))).alias("spans")), "spans")
 
 
 def with_row_hash(docs: DataFrame) -> DataFrame:
@@ -228,7 +232,7 @@ def removals(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(at, pa.int64())), pa.array(s, pa.int64()), pa.array(e, pa.int64()), pa.array(n, pa.int64()), pa.array(c, pa.int64()), pa.array(k, b.column("doc_id").type)],
                                              ["doc_id", "start_byte", "end_byte", "n_words", "cluster_id", "kept_doc_id"])
 
-    hit = marked.join(spans.withColumnRenamed("d", "_d"), F.col("d") == F.col("_d")).select("doc_id", "text", "spans")
+    hit = sieve(marked, "d", spans, "d").join(spans.withColumnRenamed("d", "_d"), F.col("d") == F.col("_d")).select("doc_id", "text", "spans")
     return hit.mapInArrow(list_spans, f"doc_id {kind}, start_byte bigint, end_byte bigint, n_words bigint, cluster_id bigint, kept_doc_id {kind}")
 
 
