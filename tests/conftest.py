@@ -27,4 +27,6 @@ def spark():
 @pytest.fixture()
 def scratch(spark):
     from tallyframe.session import work_dir
-    return work_dir(spark, "test")
+    path = work_dir(spark, "test")
+    os.makedirs(path.removeprefix("file:"), exist_ok=True)  # tests also write there without Spark
+    return path
