@@ -6,10 +6,13 @@ Paragraphs are compared as sets of 5-word shingles.  Two kinds are cut from ever
   (1 - (1 - 0.75 ** 2) ** 6 = 0.993); lines that collide in a band are joined into candidate groups, verified by their exact
   Jaccard similarity (on 32 bits of each shingle's hash), and the verified links are clustered by components;
 * pieces of PIECE_WORDS words at content-chosen places (the smallest hash of each WINDOW consecutive
-  places), whatever the line breaks.  Equal pieces form a cluster.  Any run of PIECE_WORDS + WINDOW - 1 = 51 words that two
+  places), whatever the line breaks.  Any run of PIECE_WORDS + WINDOW - 1 = 51 words that two
   texts share holds at least one common piece, so a passage of over 50 words is found wherever it was put in.
 
-Of each cluster the first occurrence (smallest doc_id, then place) is kept, the others are removed; a line of which three quarters
+Equal pieces only show where to look: around each, all PIECE_WORDS-word windows are compared, so that the whole run that texts share
+is found and not the pieces alone (no window of a shared run is WINDOW or more places from a common piece).
+
+Of each cluster of lines and of each window the first occurrence (smallest doc_id, then place) is kept, the others are removed; a line of which three quarters
 or more are removed goes as a whole.  Copies are classes of equal sets, counted and joined, never paired.
 
 Defined cases: null and empty texts, and texts with fewer words than a piece and no long line, are left alone; equal rows (same
@@ -175,15 +178,65 @@ def _later(rows: DataFrame, cluster: str) -> DataFrame:
             .select("d", "start", "stop", F.col("c").alias("cluster"), F.col("first.doc_id").alias("kept")))
 
 
+def windows(docs: DataFrame, near: DataFrame) -> DataFrame:
+    """(d, doc_id, start, key) of all PIECE_WORDS-word windows less than WINDOW places from one of ``near`` (d, places)."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def cut(batches):
+        for b in batches:
+            raw, off = W.buffers(b.column("text"))
+            places = b.column("places").to_pylist()
+            for i, j in W.chunks(off):
+                h, _, _, per_text = W.words(raw, off[i:j + 1], W.BLANK_SEPARATED)
+                grams, g_off = _long_grams(h, per_text)
+                step = np.zeros(len(grams) + 1, np.int64)
+                for t in range(i, j):
+                    lo, hi = g_off[t - i], g_off[t - i + 1]
+                    at = np.array(places[t]) + lo
+                    np.add.at(step, np.maximum(at - WINDOW + 1, lo), 1)
+                    np.add.at(step, np.minimum(at + WINDOW, hi), -1)
+                chosen = np.flatnonzero(np.cumsum(step)[:-1] > 0)
+                text = np.searchsorted(g_off, chosen, "right") - 1
+                where = pa.array(text + i)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("d").take(where), b.column("doc_id").take(where), pa.array(chosen - g_off[text], pa.int32()), pa.array(grams[chosen].view(np.int64))],
+                    ["d", "doc_id", "start", "key"])
+
+    hit = sieve(docs, "d", near, "d").join(near.withColumnRenamed("d", "_d"), F.col("d") == F.col("_d")).select("d", "doc_id", "text", "places")
+    return hit.mapInArrow(cut, f"d bigint, doc_id {kind}, start int, key bigint")
+
+
+def runs(found: DataFrame) -> DataFrame:
+    """Windows (d, start, cluster, kept) at consecutive places and of one kept document as one span; its cluster is the first window's."""
+    def join(batches):
+        for b in batches:
+            d, start = (b.column(c).to_numpy() for c in ("d", "start"))
+            kept = b.column("kept").dictionary_encode().indices.fill_null(-1).to_numpy()
+            new = np.ones(len(d), bool)
+            new[1:] = (d[1:] != d[:-1]) | (start[1:] > start[:-1] + 1) | (kept[1:] != kept[:-1])
+            head = np.flatnonzero(new)
+            last = np.append(head[1:], len(d))[:len(head)] - 1
+            take = pa.array(head)
+            yield pa.RecordBatch.from_arrays([b.column("d").take(take), pa.array(start[head], pa.int32()), pa.array(start[last] + PIECE_WORDS, pa.int32()), b.column("cluster").take(take), b.column("kept").take(take)],
+                                             ["d", "start", "stop", "cluster", "kept"])
+
+    kind = found.schema["kept"].dataType.simpleString()
+    return (found.select("d", "start", "cluster", "kept").repartition("d").sortWithinPartitions("d", "start")
+            .mapInArrow(join, f"d bigint, start int, stop int, cluster bigint, kept {kind}"))
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """Per document with repeats: d and its spans [(start word, stop word, cluster, kept doc_id)]."""
     cut = materialize(units(docs), "units")
-    lines, pieces = cut.filter("kind = 0"), cut.filter("kind = 1").select("d", "doc_id", "start", "stop", "key")
+    lines, pieces = cut.filter("kind = 0"), cut.filter("kind = 1").select("d", "doc_id", "start", "key")
     root = line_clusters(lines.select("key", "n", "bands", "shared"))
     in_class = (lines.select("d", "doc_id", "start", "stop", "key").join(root, F.col("key") == F.col("node"), "left")
                 .select("d", "doc_id", "start", "stop", F.coalesce("root", "key").alias("key")))
     several = materialize(pieces.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("key").alias("k")), "several")
-    spans = _later(in_class, "key").unionByName(_later(sieve(pieces, "key", several, "k"), "key")).distinct()
+    matched = sieve(pieces, "key", several, "k").join(several, F.col("key") == F.col("k"))
+    near = materialize(matched.groupBy("d").agg(F.collect_set("start").alias("places")), "near")
+    grams = materialize(windows(docs, near), "windows").withColumn("stop", F.col("start") + PIECE_WORDS)
+    spans = _later(in_class, "key").unionByName(runs(_later(grams, "key"))).distinct()
     return materialize(spans.groupBy("d").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "cluster", "kept"))).alias("spans")), "spans")
 
 
