@@ -12,8 +12,10 @@ Paragraphs are compared as sets of 5-word shingles.  Two kinds are cut from ever
 Equal pieces only show where to look: around each, all PIECE_WORDS-word windows are compared, so that the whole run that texts share
 is found and not the pieces alone (no window of a shared run is WINDOW or more places from a common piece).
 
-Of each cluster of lines and of each window the first occurrence (smallest doc_id, then place) is kept, the others are removed; a line of which three quarters
-or more are removed goes as a whole.  Copies are classes of equal sets, counted and joined, never paired.
+Of each cluster of lines the first occurrence (smallest doc_id, then place) is kept and the others are removed; then, of each
+window, the first occurrence outside these lines is kept and later ones are removed.  So every word removed with a window is still
+held in the same window of an earlier document, or where that one lost it, of one before; ``kept_doc_id`` names the holder of a span's first
+words.  A line of which three quarters or more are removed goes as a whole, unless the rest is held for others.  Copies are classes of equal sets, counted and joined, never paired.
 
 Defined cases: null and empty texts, and texts with fewer words than a piece and no long line, are left alone; equal rows (same
 doc_id and text) count as one document and are treated alike; ties go to the smaller doc_id, null first; an empty
@@ -32,7 +34,7 @@ from tallyframe.llm import words as W
 from tallyframe.llm.components import components
 from tallyframe.llm.jaccard import SHINGLE, set_keys, similar, tile_links
 from tallyframe.llm.sieve import sieve
-from tallyframe.session import materialize
+from tallyframe.session import materialize, release_work, work_count
 
 LINE_WORDS = 20
 PIECE_WORDS, WINDOW = 20, 32
@@ -170,74 +172,108 @@ def line_clusters(lines: DataFrame) -> DataFrame:
     return components(tile_links(members, "bands", ["n", "bands", "shared"], verify), "a", "b")
 
 
-def _later(rows: DataFrame, cluster: str) -> DataFrame:
-    """All occurrences of a cluster but its first: d, start, stop, cluster, kept (doc_id of the first)."""
+_IN_GONE = "exists(gone, g -> g.start <= start and g.stop >= start + {})".format(PIECE_WORDS)
+
+
+def _occurrences(rows: DataFrame, live, stop) -> DataFrame:
+    """The first live occurrence of every key that occurs again (held) and all that come after it: d, start, stop, cluster, kept, held."""
     here = F.struct("doc_id", "d", "start")
-    first = rows.groupBy(F.col(cluster).alias("c")).agg(F.min(here).alias("first"), F.max(here).alias("last")).filter("first <> last").select("c", "first")
-    return (rows.join(first, F.col(cluster) == F.col("c")).filter(here != F.col("first"))
-            .select("d", "start", "stop", F.col("c").alias("cluster"), F.col("first.doc_id").alias("kept")))
+    first = (rows.groupBy(F.col("key").alias("c")).agg(F.min(F.when(live, here)).alias("first"), F.max(here).alias("last"))
+             .filter("last > first").select("c", "first"))
+    return (rows.join(first, F.col("key") == F.col("c")).filter(here >= F.col("first")).withColumn("stop", stop)
+            # an occurrence that overlaps the first one of its own text leaves that one whole
+            .withColumn("start", F.when((F.col("d") == F.col("first.d")) & (here > F.col("first")), F.greatest("start", F.col("first.start") + PIECE_WORDS)).otherwise(F.col("start")))
+            .filter("start < stop")
+            .select("d", "start", "stop", F.col("c").alias("cluster"), F.col("first.doc_id").alias("kept"), ((F.col("d") == F.col("first.d")) & (F.col("start") == F.col("first.start"))).alias("held")))
 
 
 def windows(docs: DataFrame, near: DataFrame) -> DataFrame:
-    """(d, doc_id, start, key) of all PIECE_WORDS-word windows less than WINDOW places from one of ``near`` (d, places)."""
+    """(d, doc_id, start, key, live) of all PIECE_WORDS-word windows less than WINDOW places from one of ``near`` (d, places, gone).
+
+    Windows within a removed line (gone) are left out; those that it cuts are not live.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(batches):
         for b in batches:
             raw, off = W.buffers(b.column("text"))
-            places = b.column("places").to_pylist()
+            places, removed = b.column("places").to_pylist(), b.column("gone").to_pylist()
             for i, j in W.chunks(off):
                 h, _, _, per_text = W.words(raw, off[i:j + 1], W.BLANK_SEPARATED)
                 grams, g_off = _long_grams(h, per_text)
-                step = np.zeros(len(grams) + 1, np.int64)
+                step, gone = np.zeros(len(grams) + 1, np.int64), np.zeros(len(h) + 1, np.int64)
                 for t in range(i, j):
                     lo, hi = g_off[t - i], g_off[t - i + 1]
                     at = np.array(places[t]) + lo
                     np.add.at(step, np.maximum(at - WINDOW + 1, lo), 1)
                     np.add.at(step, np.minimum(at + WINDOW, hi), -1)
+                    for g in removed[t] or []:
+                        gone[per_text[t - i] + g["start"]] += 1
+                        gone[per_text[t - i] + g["stop"]] -= 1
+                gone = np.concatenate([[0], np.cumsum(np.cumsum(gone)[:-1] > 0)])
                 chosen = np.flatnonzero(np.cumsum(step)[:-1] > 0)
                 text = np.searchsorted(g_off, chosen, "right") - 1
+                word = chosen - g_off[text] + per_text[text]
+                lost = gone[word + PIECE_WORDS] - gone[word]
+                chosen, text, lost = (x[lost < PIECE_WORDS] for x in (chosen, text, lost))
                 where = pa.array(text + i)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("d").take(where), b.column("doc_id").take(where), pa.array(chosen - g_off[text], pa.int32()), pa.array(grams[chosen].view(np.int64))],
-                    ["d", "doc_id", "start", "key"])
+                    [b.column("d").take(where), b.column("doc_id").take(where), pa.array(chosen - g_off[text], pa.int32()), pa.array(grams[chosen].view(np.int64)), pa.array(lost == 0)],
+                    ["d", "doc_id", "start", "key", "live"])
 
-    hit = sieve(docs, "d", near, "d").join(near.withColumnRenamed("d", "_d"), F.col("d") == F.col("_d")).select("d", "doc_id", "text", "places")
-    return hit.mapInArrow(cut, f"d bigint, doc_id {kind}, start int, key bigint")
+    hit = sieve(docs, "d", near, "d").join(near.withColumnRenamed("d", "_d"), F.col("d") == F.col("_d")).select("d", "doc_id", "text", "places", "gone")
+    return hit.mapInArrow(cut, f"d bigint, doc_id {kind}, start int, key bigint, live boolean")
 
 
 def runs(found: DataFrame) -> DataFrame:
-    """Windows (d, start, cluster, kept) at consecutive places and of one kept document as one span; its cluster is the first window's."""
+    """Overlapping or adjoining spans of one kept document, held or not, as one span; its cluster is the first one's."""
     def join(batches):
         for b in batches:
-            d, start = (b.column(c).to_numpy() for c in ("d", "start"))
+            d, start, stop, held = (b.column(c).to_numpy(zero_copy_only=False) for c in ("d", "start", "stop", "held"))
             kept = b.column("kept").dictionary_encode().indices.fill_null(-1).to_numpy()
             new = np.ones(len(d), bool)
-            new[1:] = (d[1:] != d[:-1]) | (start[1:] > start[:-1] + 1) | (kept[1:] != kept[:-1])
+            new[1:] = (d[1:] != d[:-1]) | (held[1:] != held[:-1]) | (start[1:] > stop[:-1]) | (kept[1:] != kept[:-1])
             head = np.flatnonzero(new)
-            last = np.append(head[1:], len(d))[:len(head)] - 1
             take = pa.array(head)
-            yield pa.RecordBatch.from_arrays([b.column("d").take(take), pa.array(start[head], pa.int32()), pa.array(start[last] + PIECE_WORDS, pa.int32()), b.column("cluster").take(take), b.column("kept").take(take)],
-                                             ["d", "start", "stop", "cluster", "kept"])
+            ends = np.maximum.reduceat(stop, head) if len(head) else stop
+            yield pa.RecordBatch.from_arrays([b.column("d").take(take), b.column("start").take(take), pa.array(ends, pa.int32()), *(b.column(c).take(take) for c in ("cluster", "kept", "held"))],
+                                             ["d", "start", "stop", "cluster", "kept", "held"])
 
     kind = found.schema["kept"].dataType.simpleString()
-    return (found.select("d", "start", "cluster", "kept").repartition("d").sortWithinPartitions("d", "start")
-            .mapInArrow(join, f"d bigint, start int, stop int, cluster bigint, kept {kind}"))
+    return (found.repartition("d").sortWithinPartitions("d", "held", "start", "stop")
+            .mapInArrow(join, f"d bigint, start int, stop int, cluster bigint, kept {kind}, held boolean"))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """Per document with repeats: d and its spans [(start word, stop word, cluster, kept doc_id)]."""
+    """Per document with repeats: d and its spans [(start word, stop word, cluster, kept doc_id, held)].
+
+    Held spans are first occurrences, of which others are removed; the rest is removed.  Lines come first: what they remove can hold nothing.
+    """
+    spark, made = docs.sparkSession, work_count(docs.sparkSession)
     cut = materialize(units(docs), "units")
     lines, pieces = cut.filter("kind = 0"), cut.filter("kind = 1").select("d", "doc_id", "start", "key")
     root = line_clusters(lines.select("key", "n", "bands", "shared"))
     in_class = (lines.select("d", "doc_id", "start", "stop", "key").join(root, F.col("key") == F.col("node"), "left")
                 .select("d", "doc_id", "start", "stop", F.coalesce("root", "key").alias("key")))
+    of_lines = materialize(_occurrences(in_class, F.lit(True), F.col("stop")).distinct(), "lines")
+    gone = materialize(of_lines.filter("not held").groupBy(F.col("d").alias("_g")).agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("gone")), "gone")
     several = materialize(pieces.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("key").alias("k")), "several")
-    matched = sieve(pieces, "key", several, "k").join(several, F.col("key") == F.col("k"))
-    near = materialize(matched.groupBy("d").agg(F.collect_set("start").alias("places")), "near")
-    grams = materialize(windows(docs, near), "windows").withColumn("stop", F.col("start") + PIECE_WORDS)
-    spans = _later(in_class, "key").unionByName(runs(_later(grams, "key"))).distinct()
-    return materialize(spans.groupBy("d").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "cluster", "kept"))).alias("spans")), "spans")
+    # pieces within removed lines are settled
+    matched = materialize(sieve(pieces, "key", several, "k").join(several, F.col("key") == F.col("k")).join(gone, F.col("d") == F.col("_g"), "left")
+                          .filter(f"gone is null or not {_IN_GONE}").select("d", "doc_id", "start", "key"), "matched")
+    here = F.struct("doc_id", "d", "start")
+    again = matched.groupBy(F.col("key").alias("k")).agg(F.min(here).alias("first"), F.max(here).alias("last")).filter("first <> last").select("k")
+    near = (matched.join(again, F.col("key") == F.col("k")).groupBy("d").agg(F.collect_set("start").alias("places"))
+            .join(gone, F.col("d") == F.col("_g"), "left").select("d", "places", "gone"))
+    near = materialize(near, "near")
+    release_work(spark, made, ("lines", "gone", "matched", "near"))
+    grams = materialize(windows(docs, near), "windows")
+    often = materialize(grams.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("key").alias("k")), "often")
+    spans = of_lines.unionByName(runs(_occurrences(sieve(grams, "key", often, "k"), F.col("live"), F.col("start") + PIECE_WORDS))).distinct()
+    found = spans.groupBy("d").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "cluster", "kept", "held"))).alias("spans"))
+    found = materialize(found.filter("exists(spans, s -> not s.held)"), "spans")
+    release_work(spark, made, ("spans",))
+    return found
 
 
 def with_row_hash(docs: DataFrame) -> DataFrame:
@@ -253,15 +289,19 @@ def merged(text: pa.Array, spans: list[list[dict]]):
             continue
         here = off[t:t + 2]
         h, start, end, per_text = W.words(raw, here, W.BLANK_SEPARATED)
-        gone = np.zeros(len(h) + 1, np.int32)
+        gone, kept = np.zeros(len(h) + 1, np.int32), np.zeros(len(h) + 1, np.int32)
         for s in mine:
-            gone[s["start"]] += 1
-            gone[s["stop"]] -= 1
-        gone = np.cumsum(gone)[:-1] > 0
+            marks = kept if s["held"] else gone
+            marks[s["start"]] += 1
+            marks[s["stop"]] -= 1
+        gone, kept = np.cumsum(gone)[:-1] > 0, np.cumsum(kept)[:-1] > 0
+        mine = [s for s in mine if not s["held"]]
         lines = line_bounds(raw, here, start, per_text)
         size = np.diff(lines)
         share = np.add.reduceat(gone.astype(np.int64), lines[:-1]) / size
-        gone |= np.repeat(share >= WHOLE_LINE, size)
+        # words that are the only copy of what others have lost stay
+        needed = np.add.reduceat((kept & ~gone).astype(np.int64), lines[:-1]) > 0
+        gone |= np.repeat((share >= WHOLE_LINE) & ~needed, size)
         new = np.flatnonzero(gone & ~np.concatenate([[False], gone[:-1]]))
         last = np.flatnonzero(gone & ~np.concatenate([gone[1:], [False]]))
         starts = np.array([s["start"] for s in mine])

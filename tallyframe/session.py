@@ -84,12 +84,22 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"cannot rename {old} to {new}")
 
 
-def release_work(spark: SparkSession) -> int:
-    """Delete the work folders this application made; frames that read them cannot be used any more."""
-    paths = _MADE.pop(spark.sparkContext.applicationId, [])
+def work_count(spark: SparkSession) -> int:
+    """Number of work folders made so far (see ``release_work``)."""
+    return len(_MADE.get(spark.sparkContext.applicationId, []))
+
+
+def release_work(spark: SparkSession, since: int = 0, but: tuple[str, ...] = ()) -> int:
+    """Delete the work folders this application made; frames that read them cannot be used any more.
+
+    ``since``: only those made after so many; ``but``: names that stay.
+    """
+    made = _MADE.get(spark.sparkContext.applicationId, [])
+    paths = [p for p in made[since:] if p.rsplit("/", 1)[1].rsplit("-", 1)[0] not in but]
     for p in paths:
         fs, path = _file_system(spark, p)
         fs.delete(path, True)
+    made[since:] = [p for p in made[since:] if p not in set(paths)]
     return len(paths)
 
 
