@@ -29,10 +29,17 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each component of the 75 % Jaccard links."""
-    first = jaccard.jaccard_components(docs).filter("doc_id <=> component_id").select(F.col("doc_id").alias("first_id")).distinct()
-    kept = docs.select(*COLUMNS)
-    return kept.join(first, kept["doc_id"].eqNullSafe(first["first_id"]), "left_semi").dropDuplicates(["doc_id"])
+    """One row of each component of the 75 % Jaccard links, that with the smallest (doc_id, row hash); all rows without words stay.
+
+    Rows are told apart by their whole content, not by doc_id, which may be null or repeated.
+    """
+    content = [c for name in COLUMNS for c in (F.col(name).isNull(), F.col(name))]
+    rows = docs.select(*COLUMNS)
+    marked = rows.withColumn("_row", F.xxhash64(*content)).withColumn("_row2", F.xxhash64(F.lit(1), *content))
+    first = jaccard.first_rows(marked, ("_row", "_row2"))
+    words = F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    kept = marked.filter(words).join(first, ["_row", "_row2"], "left_semi").dropDuplicates(["_row", "_row2"])
+    return kept.select(*COLUMNS).unionByName(rows.filter(~words))
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -69,9 +69,10 @@ def set_keys(tokens: np.ndarray, off: np.ndarray) -> np.ndarray:
     return W.mix(sums + n.astype(np.uint64)).view(np.int64)
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, key per document; besides, rows with tokens and counts: tokens that repeat within a batch."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def signatures(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns ``carry``, n_shingles, key per document; besides, rows with tokens and counts: tokens that repeat within a batch."""
+    named = ["doc_id", *carry]
+    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in named)
 
     def sign(batches):
         seen: set[int] = set()
@@ -94,14 +95,14 @@ def signatures(docs: DataFrame) -> DataFrame:
             starts = np.flatnonzero(np.concatenate([[True], fresh[1:] != fresh[:-1]])) if len(fresh) else np.zeros(0, np.int64)
             times = np.diff(np.concatenate([starts, [len(fresh)]]))
             often = times >= 2
-            ids = pa.concat_arrays([b.column("doc_id"), pa.nulls(1, b.column("doc_id").type)])
+            ids = [pa.concat_arrays([b.column(c), pa.nulls(1, b.column(c).type)]) for c in named]
             none = [None] * len(n)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([*n.tolist(), 0], pa.int64()), pa.array([*(k if m else None for k, m in zip(key.tolist(), n.tolist())), None], pa.int64()),
+                [*ids, pa.array([*n.tolist(), 0], pa.int64()), pa.array([*(k if m else None for k, m in zip(key.tolist(), n.tolist())), None], pa.int64()),
                  pa.array([*none, fresh[starts[often]].astype(np.int64)], pa.list_(pa.int64())), pa.array([*none, times[often]], pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "key", "tokens", "counts"])
+                [*named, "n_shingles", "key", "tokens", "counts"])
 
-    return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {kind}, n_shingles bigint, key bigint, tokens array<bigint>, counts array<bigint>")
+    return docs.select(*named, "text").mapInArrow(sign, f"{kinds}, n_shingles bigint, key bigint, tokens array<bigint>, counts array<bigint>")
 
 
 def _six(tokens: np.ndarray) -> bytes:
@@ -336,10 +337,10 @@ def links(found: DataFrame) -> DataFrame:
     return tile_links(grouped, "prefix", ["n", "shared", "p1", "p2", "p3"], verified_links)
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document (doc_id, text)."""
-    signed = materialize(signatures(docs), "signatures")
-    rows = signed.filter("tokens is null").select("doc_id", "n_shingles", "key")
+def _classes(docs: DataFrame, carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, ``carry``, n_shingles, key; no key without words) and the keys that a link joins to a smaller one (node, root)."""
+    signed = materialize(signatures(docs, carry), "signatures")
+    rows = signed.filter("tokens is null").select("doc_id", *carry, "n_shingles", "key")
     total = rows.agg(F.count("*").alias("docs"), F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("tokens")).first()
     often = (signed.filter("tokens is not null").select(F.explode(F.arrays_zip("tokens", "counts")).alias("x")).groupBy(F.col("x.tokens").alias("token"))
              .agg(F.sum("x.counts").alias("n")).filter(F.col("n") >= max(HOT_LEAST, total["docs"] // HOT_SHARE)))
@@ -348,7 +349,21 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     order = np.argsort(tokens)
     buckets = max(16, total["tokens"] // BUCKET_TOKENS)
     found = materialize(records(docs, (tokens[order], counts[order]), int(buckets)), "records")
-    root = components(links(found), "a", "b")
+    return rows, components(links(found), "a", "b")
+
+
+def first_rows(docs: DataFrame, carry: tuple[str, ...]) -> DataFrame:
+    """``carry`` of one row, smallest by (doc_id, ``carry``), of every class of linked documents with words; ids play no other part."""
+    rows, root = _classes(docs, carry)
+    # copies first, so that a class of very many is not dealt by its root
+    least = rows.filter("key is not null").groupBy("key").agg(F.min(F.struct("doc_id", *carry)).alias("least"))
+    return (least.join(root, F.col("key") == F.col("node"), "left").groupBy(F.coalesce("root", "key").alias("class")).agg(F.min("least").alias("least"))
+            .select(*[F.col(f"least.{c}").alias(c) for c in carry]))
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document (doc_id, text)."""
+    rows, root = _classes(docs)
     classes = rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"))
     classes = classes.join(root, F.col("key") == F.col("node"), "left").select("key", F.coalesce("root", "key").alias("root"), "least")
     named = classes.groupBy("root").agg(F.min("least").alias("component_id"))
