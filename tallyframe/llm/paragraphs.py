@@ -39,6 +39,8 @@ from tallyframe.session import materialize, release_work, work_count
 LINE_WORDS = 20
 PIECE_WORDS, WINDOW = 20, 32
 BANDS, ROWS = 6, 2
+#: Bytes of text hashed at once; a worker's arrays are some forty times as large.
+CHUNK = 1 << 20
 WHOLE_LINE = 0.75
 _MULTIPLIERS = W.mix(np.arange(1001, 1001 + BANDS * ROWS, dtype=np.uint64)) | np.uint64(1)
 
@@ -90,7 +92,7 @@ def units(docs: DataFrame) -> DataFrame:
     def cut(batches):
         for b in batches:
             raw, off = W.buffers(b.column("text"))
-            for i, j in W.chunks(off):
+            for i, j in W.chunks(off, CHUNK):
                 here = off[i:j + 1]
                 h, start, _, per_text = W.words(raw, here, W.BLANK_SEPARATED)
                 lines = line_bounds(raw, here, start, per_text)
@@ -198,7 +200,7 @@ def windows(docs: DataFrame, near: DataFrame) -> DataFrame:
         for b in batches:
             raw, off = W.buffers(b.column("text"))
             places, removed = b.column("places").to_pylist(), b.column("gone").to_pylist()
-            for i, j in W.chunks(off):
+            for i, j in W.chunks(off, CHUNK):
                 h, _, _, per_text = W.words(raw, off[i:j + 1], W.BLANK_SEPARATED)
                 grams, g_off = _long_grams(h, per_text)
                 step, gone = np.zeros(len(grams) + 1, np.int64), np.zeros(len(h) + 1, np.int64)
