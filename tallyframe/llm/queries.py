@@ -8,13 +8,16 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyframe.llm.alignment import op13_pair_bitmaps
 from tallyframe.llm.ann import op10_adaptive_scan
 from tallyframe.llm.chat import op9_reply_trees
 from tallyframe.llm.decontaminate import op7_suffix_automaton
+from tallyframe.llm.exact import op12_two_pass_bloom
 from tallyframe.llm.jaccard import op3_jaccard_prefix_orders
 from tallyframe.llm.langid import op1_viterbi_langid
 from tallyframe.llm.packing import op5_conflict_best_fit
 from tallyframe.llm.paragraphs import op8_paragraph_minhash
+from tallyframe.llm.periodic import op11_periodic_runs
 from tallyframe.llm.quality import op4_byte_convnet
 from tallyframe.llm.sharding import op6_hilbert_sharding
 from tallyframe.llm.toxicity import op2_factorization_machine
@@ -43,6 +46,9 @@ QUERIES = {name: with_code(query) for name, query in {
     "op8_paragraph_minhash": op8_paragraph_minhash,
     "op9_reply_trees": op9_reply_trees,
     "op10_adaptive_scan": op10_adaptive_scan,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_two_pass_bloom": op12_two_pass_bloom,
+    "op13_pair_bitmaps": op13_pair_bitmaps,
 }.items()}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -92,4 +98,10 @@ SELECT conv_id, count(*) n_turns, sha256(string_agg(role || chr(10) || text || c
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) loss_sha256,
        CAST(sum(length('### ' || head || ': ' || body || '</turn>' || chr(10))) AS BIGINT) formatted_chars
 FROM marked GROUP BY conv_id""",
+    "op12_two_pass_bloom": r"""WITH rows AS (
+  SELECT doc_id, length(coalesce(text, '')) n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) text_sha256 FROM documents),
+longest AS (SELECT text_sha256, count(*) group_size, max(n) n FROM rows GROUP BY 1),
+stays AS (SELECT r.text_sha256, min(r.doc_id) keep_id FROM rows r JOIN longest g ON r.text_sha256 = g.text_sha256 AND r.n = g.n GROUP BY 1)
+SELECT r.doc_id, s.keep_id, g.group_size, r.doc_id = s.keep_id kept, r.text_sha256
+FROM rows r JOIN longest g ON g.text_sha256 = r.text_sha256 JOIN stays s ON s.text_sha256 = r.text_sha256""",
 }

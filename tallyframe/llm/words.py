@@ -3,7 +3,7 @@
 Word classes of the contracts only separate at ASCII bytes, so a UTF-8 buffer can be cut into words
 byte by byte: a byte >= 0x80 always belongs to a word.  A string column is used through its Arrow
 buffers; nulls count as empty texts.  Work is done in chunks of whole texts of about ``CHUNK`` bytes, so
-memory is bounded by the chunk plus the longest single text.
+memory is bounded by some twenty times the chunk, plus some ten times the longest single text.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -74,41 +74,77 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK):
         i = j
 
 
-def words(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray):
+#: Powers of the base and of its inverse modulo 2**64, for one slice.
+SLICE = 1 << 18
+_POWER = np.concatenate([[_U(1)], np.cumprod(np.full(SLICE, _BASE, np.uint64))])
+_INVERSE = _U(pow(int(_BASE), -1, 1 << 64))
+_DOWN = np.concatenate([[_U(1)], np.cumprod(np.full(SLICE, _INVERSE, np.uint64))])
+
+
+def _prefix_at(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Sums of value * base**position over data[:place], modulo 2**64, at ascending places; slice by slice, so memory is bounded."""
+    out = np.zeros(len(places), np.uint64)
+    total, scale = _U(0), _U(1)
+    with np.errstate(over="ignore"):
+        for lo in range(0, len(data), SLICE):
+            part = _BYTE_VALUE[data[lo:lo + SLICE]]
+            part *= _POWER[:len(part)]
+            np.cumsum(part, out=part)
+            a, b = np.searchsorted(places, [lo + 1, lo + len(part) + 1])
+            out[a:b] = total + part[places[a:b] - lo - 1] * scale
+            total += part[-1] * scale
+            scale *= _POWER[SLICE]
+    return out
+
+
+def _lowered(places: np.ndarray) -> np.ndarray:
+    """base**-place, modulo 2**64."""
+    out = _DOWN[places % SLICE]
+    blocks = places // SLICE
+    if len(blocks) and blocks[-1]:
+        out = out * np.concatenate([[_U(1)], np.cumprod(np.full(int(blocks[-1]), _DOWN[SLICE], np.uint64))])[blocks]
+    return out
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bytes of ascending spans that do not overlap: value * base**(position within the span), summed, modulo 2**64."""
+    h = _prefix_at(data, end)
+    h -= _prefix_at(data, start)
+    h *= _lowered(start)
+    h += (end - start).astype(np.uint64)
+    return mix(h)
+
+
+def words(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray, lower: bool = True):
     """Words of consecutive texts.
 
     Returns (hash per word, start and end byte per word relative to the first text, word offsets per text).
-    Letters A-Z are lower-cased before hashing.
+    Letters A-Z are lower-cased before hashing, unless ``lower`` is false.
     """
     base = offsets[0]
-    data = _LOWER[raw[base:offsets[-1]]]
+    data = raw[base:offsets[-1]]
+    if lower:
+        data = _LOWER[data]
     at = (offsets - base).astype(np.int64)
     if not len(data):
         empty = np.zeros(0, np.int64)
         return np.zeros(0, np.uint64), empty, empty, np.zeros(len(at), np.int64)
     inside = table[data]
-    begins = inside.copy()
-    begins[1:] &= ~inside[:-1]
+    edges = np.empty(len(data), bool)
+    edges[0] = inside[0]
+    np.greater(inside[1:], inside[:-1], out=edges[1:])
     cut = at[:-1][at[:-1] < len(data)]
-    begins[cut] = inside[cut]
-    start = np.flatnonzero(begins)
-    ends = inside.copy()
-    ends[:-1] &= ~inside[1:]
+    edges[cut] = inside[cut]
+    start = np.flatnonzero(edges)
+    edges[-1] = inside[-1]
+    np.greater(inside[:-1], inside[1:], out=edges[:-1])
     last = at[1:][at[1:] > 0] - 1
-    ends[last] = inside[last]
-    end = np.flatnonzero(ends) + 1
+    edges[last] = inside[last]
+    end = np.flatnonzero(edges) + 1
     per_text = np.searchsorted(start, at)
     if not len(start):
         return np.zeros(0, np.uint64), start, end, per_text
-    # position within the word, and sum of value * base**position, modulo 2**64
-    width = int((end - start).max())
-    power = np.cumprod(np.full(width, _BASE, np.uint64))
-    where = np.flatnonzero(inside)
-    length = end - start
-    first = np.cumsum(length) - length
-    place = np.arange(len(where)) - np.repeat(first, length)
-    h = np.add.reduceat(_BYTE_VALUE[data[where]] * power[place], first)
-    return mix(h + length.astype(np.uint64)), start, end, per_text
+    return span_hashes(data, start, end), start, end, per_text
 
 
 def shingles(h: np.ndarray, per_text: np.ndarray, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
