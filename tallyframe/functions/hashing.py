@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyframe.functions.digest import exact_text
+
 
 def record_hash(*cols: Column | str) -> Column:
     """SHA-256 of the canonical JSON of a struct: keys sorted, NULL fields omitted.
@@ -30,14 +32,9 @@ def version_key(key: Column | str, start: Column | str) -> Column:
     return F.sha2(F.concat(key.cast("string"), F.lit("|"), start.cast("string")), 256)
 
 
-def row_text(cols: Sequence[str]) -> Column:
-    """Pipe-joined text of a row; NULL becomes the empty string."""
-    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
-
-
 def row_hash60(cols: Sequence[str]) -> Column:
-    """First 60 bits of md5(row_text) as a non-negative bigint."""
-    return F.conv(F.substring(F.md5(row_text(cols)), 1, 15), 16, 10).cast("bigint")
+    """First 60 bits of md5 over the row's exact text (length before each value, mark for NULL) as a non-negative bigint."""
+    return F.conv(F.substring(F.md5(exact_text(cols)), 1, 15), 16, 10).cast("bigint")
 
 
 def fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -60,13 +60,13 @@ def daily_rollup(tx: DataFrame, day: Column | str, date_col: str = "event_date")
             .agg(F.count(F.lit(1)).alias("transaction_count"), _total("amount").alias("total_amount")))
 
 
-def historical_turnover(tx: DataFrame, history: DataFrame, form: str = "asof", method: str = "range") -> DataFrame:
+def historical_turnover(tx: DataFrame, history: DataFrame, form: str = "asof", method: str = "buckets", unit: str = "month") -> DataFrame:
     """Turnover by customer x day x currency with the segments valid at event time.
 
     POSTED facts are bound to history (inner, at event time), aggregated
     (sorted distinct segments, sum), then per (customer, currency) in day
-    order: running total, delta to the previous active day, and a dense rank
-    of customers per (day, currency) by turnover.  Windows run on the daily
+    order: running total, delta to the previous active day (two-level scans over months, see ``sequence``), and a dense rank
+    of customers per (day, currency) by turnover.  They run on the daily
     aggregate: one row per customer-day, never per fact.
     """
     bound = temporal.bind(_posted(tx), history, "customer_id", "event_at", columns=("segment",), how="inner",
@@ -77,14 +77,13 @@ def historical_turnover(tx: DataFrame, history: DataFrame, form: str = "asof", m
     # The daily aggregate (one row per customer-day) feeds two windows and the
     # rank: write it once rather than recompute the binding.
     daily = materialize(daily, "turnover-daily")
-    w = Window.partitionBy("customer_id", "currency").orderBy("payment_date")
-    out = (daily
-           .withColumn("cumulative_turnover",
-                       F.sum("turnover").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-                       .cast(TT.TOTAL))
-           .withColumn("previous_active_day_delta", (F.col("turnover") - F.lag("turnover").over(w)).cast(TT.TOTAL)))
+    key, bucket = ["customer_id", "currency"], F.date_trunc(unit, "payment_date")
+    out = sequence.scan(daily, key, ["payment_date"], sums={"turnover": "cumulative_turnover"}, method=method, bucket=bucket)
+    out = sequence.neighbours(out, key, ["payment_date"], lag={"turnover": "_previous"}, method=method, bucket=bucket)
+    out = out.select(*daily.columns, F.col("cumulative_turnover").cast(TT.TOTAL).alias("cumulative_turnover"),
+                     (F.col("turnover") - F.col("_previous")).cast(TT.TOTAL).alias("previous_active_day_delta"))
     # One (day, currency) group holds every customer active that day: rank it skew-safely when large.
-    return sequence.dense_rank(out, ["payment_date", "currency"], "turnover", "customer_rank", method=method)
+    return sequence.dense_rank(out, ["payment_date", "currency"], "turnover", "customer_rank", method="window" if method == "window" else "range")
 
 
 def calendar_fill(totals: DataFrame, start: Column | str | None = None, end: Column | str | None = None,

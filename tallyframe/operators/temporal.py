@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.operators import sequence
+from tallyframe.session import materialize
 
 
 def bind(facts: DataFrame, history: DataFrame, fact_key: str, ts: str, history_key: str | None = None,
          columns: Sequence[str] = ("customer_version_id",), how: str = "left", form: str = "asof",
-         method: str = "range") -> DataFrame:
+         method: str = "buckets", unit: str = "month") -> DataFrame:
     """Attach ``columns`` of the version whose ``[valid_from, valid_to)`` holds ``ts``.
 
     form="range": equi join on the key with the interval as residual
@@ -20,12 +21,17 @@ def bind(facts: DataFrame, history: DataFrame, fact_key: str, ts: str, history_k
 
     form="asof": facts and version starts are unioned, ordered by
     (key, time, version-before-fact) and the latest version start is carried
-    forward (``sequence.neighbours`` fill).  Linear in rows and skew-safe with
-    ``method="range"``; never pairs a fact with every version of its key.
+    forward (``sequence.neighbours`` fill).  Linear in rows; with ``method="buckets"`` (the time's ``unit``) or "range" a hot key is cut; never
+    pairs a fact with every version of its key.  The history is written once (it is read by the scan and by the summary).
     The carried version is kept only while ``ts < valid_to``, so both forms
     agree on any set of non-overlapping intervals.
 
-    A fact with a NULL key or NULL time is bound to nothing in either form.
+    form="interval": versions are dealt to the time buckets (``unit``) that they cover, up to the last fact (one aggregate), so an open version
+    covers no bucket beyond it; facts meet the versions of their key and bucket only, and the interval is tested on those.  One
+    shuffle of the facts, which a hot key shares out over its buckets; versions are repeated once a bucket, so ``unit`` should not be far
+    shorter than they are.
+
+    A fact with a NULL key or NULL time is bound to nothing in any form.
     """
     hk = history_key or fact_key
     if how not in ("left", "inner"):
@@ -38,9 +44,13 @@ def bind(facts: DataFrame, history: DataFrame, fact_key: str, ts: str, history_k
                 & (F.col("_h.valid_to").isNull() | (t < F.col("_h.valid_to"))))
         return f.join(v, cond, how).select(*[F.col(f"_f.{c}") for c in facts.columns],
                                            *[F.col(f"_h.{c}") for c in columns])
+    if form == "interval":
+        return _bind_by_interval(facts, h, fact_key, ts, columns, how, unit)
     if form != "asof":
-        raise ValueError("form must be 'range' or 'asof'")
+        raise ValueError("form must be 'range', 'asof' or 'interval'")
     fact_cols = facts.columns
+    if method == "buckets":
+        h = materialize(h, "versions")
     f = facts.select(F.col(fact_key).cast(h.schema["_hk"].dataType).alias("_k"), F.col(ts).alias("_t"),
                      F.lit(1).alias("_is_fact"), F.struct(*[F.col(c) for c in fact_cols]).alias("_f"),
                      F.lit(None).cast(_version_type(h, columns)).alias("_v"))
@@ -48,7 +58,7 @@ def bind(facts: DataFrame, history: DataFrame, fact_key: str, ts: str, history_k
                  F.lit(None).cast(facts.select(F.struct(*fact_cols).alias("s")).schema["s"].dataType).alias("_f"),
                  F.struct("valid_to", *columns).alias("_v"))
     seq = sequence.neighbours(f.unionByName(v), ["_k"], ["_t", "_is_fact"], fill={"_v": "_bound"},
-                              method=method)
+                              method=method, bucket=F.date_trunc(unit, "_t"))
     out = seq.filter(F.col("_is_fact") == 1)
     inside = F.col("_k").isNotNull() & F.col("_t").isNotNull() & F.col("_bound").isNotNull() & (F.col("_bound.valid_to").isNull() | (F.col("_t") < F.col("_bound.valid_to")))
     if how == "inner":
@@ -57,6 +67,19 @@ def bind(facts: DataFrame, history: DataFrame, fact_key: str, ts: str, history_k
                       *[F.when(inside, F.col(f"_bound.{c}")).alias(c) for c in columns])
 
 
+def _bind_by_interval(facts: DataFrame, h: DataFrame, fact_key: str, ts: str, columns: Sequence[str], how: str, unit: str) -> DataFrame:
+    last = facts.agg(F.max(ts)).first()[0]
+    until = F.lit(last).cast("timestamp")
+    live = h.filter((F.col("valid_from") <= until) & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from"))))
+    covered = F.sequence(F.date_trunc(unit, "valid_from"), F.date_trunc(unit, F.least(F.coalesce("valid_to", until), until)), F.expr(f"INTERVAL 1 {unit}"))
+    v = live.withColumn("_bucket", F.explode(covered)).alias("_h")
+    f = facts.withColumn("_in", F.date_trunc(unit, ts)).alias("_f")
+    t = F.col(f"_f.{ts}")
+    cond = ((F.col(f"_f.{fact_key}") == F.col("_h._hk")) & (F.col("_f._in") == F.col("_h._bucket")) & (t >= F.col("_h.valid_from"))
+            & (F.col("_h.valid_to").isNull() | (t < F.col("_h.valid_to"))))
+    return f.join(v, cond, how).select(*[F.col(f"_f.{c}") for c in facts.columns], *[F.col(f"_h.{c}") for c in columns])
+
+
 def _version_type(h: DataFrame, columns: Sequence[str]):
     return h.select(F.struct("valid_to", *columns).alias("s")).schema["s"].dataType
 
@@ -74,7 +97,7 @@ def classify_fk(account_id: Column | str = "account_id", account_currency: Colum
 
 
 def bind_to_accounts_and_history(tx: DataFrame, accounts: DataFrame, history: DataFrame, form: str = "asof",
-                                 method: str = "range") -> DataFrame:
+                                 method: str = "buckets") -> DataFrame:
     """Facts -> account (left) -> customer version at event time (left) + ``fk_reason``.
 
     ``tx`` needs account_id, currency, event_at; ``accounts`` account_id,

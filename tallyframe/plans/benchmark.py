@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
-import time
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tallyframe import types as TT
+from tallyframe.session import path_exists
+from tallyframe.sources.layout import write_sized
 
 # A side is broadcast only when its text size is at most this (measured, not assumed).
 BROADCAST_MAX_BYTES = 64 * 1024 ** 2
 
+# Fixed values of the two variants.
 VARIANTS = {
     "baseline": {"shuffle_partitions": 64, "broadcast": False, "partitioned": False,
                  "target_bytes": 16 * 1024 ** 2},
@@ -51,34 +55,28 @@ def typed_transactions(raw_json: DataFrame) -> DataFrame:
         "currency", "status", "channel")
 
 
-def write_variant(df: DataFrame, path: str, partitioned: bool, target_bytes: int, row_bytes: int = 128) -> None:
-    """Write with a target file size: rows per file = target / estimated row width.
+def write_variant(df: DataFrame, path: str, target_bytes: int, unit: str | None = None) -> None:
+    """Write files of about ``target_bytes`` (row size measured), flat or in folders by a ``unit`` of the event time ("day", "month", ...).
 
-    Partitioned writes add ``event_date`` and deal rows by day first (Spark's rebalance: sparse days share a
-    task, a large day is split over several), so each day gets few, full files.
+    The caller names the unit: a folder should hold at least a file's worth of rows.
     """
-    rows_per_file = max(1, target_bytes // row_bytes)
-    if not partitioned:
-        df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
-        return
-    (df.withColumn("event_date", F.to_date("event_at")).hint("rebalance", F.col("event_date"))
-     .write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy("event_date").parquet(path))
-
-
-def run_variant(spark, tx: DataFrame, accounts: DataFrame, path: str, name: str, day: str) -> dict:
-    """Run one variant: join + write, checksum, one-day rollup; returns timings and results."""
-    settings = VARIANTS[name]
-    spark.conf.set("spark.sql.shuffle.partitions", str(settings["shuffle_partitions"]))
-    began = time.monotonic()
-    joined = join_accounts(tx, accounts, "broadcast" if settings["broadcast"] else "shuffle").select(
-        "transaction_id", "customer_id", "event_at", "amount", "currency", "status", "channel")
-    write_variant(joined, path, settings["partitioned"], settings["target_bytes"])
-    table = spark.read.parquet(path)
-    check = table.agg(F.count(F.lit(1)).alias("n"), F.sum("amount").cast(TT.TOTAL).alias("amount")).first()
-    filtered_start = time.monotonic()
-    d = F.lit(day).cast("date")
-    rollup = table.filter((F.col("event_date") if settings["partitioned"] else F.to_date("event_at")) == d)
-    rollup.groupBy("currency", "channel").agg(F.sum("amount")).count()
-    done = time.monotonic()
-    return {"variant": name, "settings": settings, "seconds": done - began,
-            "filtered_query_seconds": done - filtered_start, "rows": check["n"], "sum_amount": str(check["amount"])}
+    if unit is None:
+        write_sized(df, path, target_bytes)
+    else:
+        write_sized(df.withColumn("event_from", F.to_date(F.date_trunc(unit, "event_at"))), path, target_bytes, ("event_from",))
+
+
+def day_rows(spark: SparkSession, path: str, schema: StructType, day: dt.date, unit: str | None = None) -> DataFrame:
+    """The rows of one day; of a table in folders only the folder that holds the day is listed and read."""
+    if unit is None:
+        table = spark.read.schema(schema).parquet(path)
+    else:
+        start = spark.range(1).select(F.to_date(F.date_trunc(unit, F.lit(day)))).first()[0]
+        folder = f"{path}/event_from={start.isoformat()}"
+        table = spark.read.schema(schema).parquet(folder) if path_exists(spark, folder) else spark.createDataFrame([], schema)
+    return table.filter(F.to_date("event_at") == F.lit(day))
+
+
+def measures(table: DataFrame) -> DataFrame:
+    """One row: row_count and total_amount of a written variant (equal for all variants)."""
+    return table.agg(F.count(F.lit(1)).alias("row_count"), F.sum("amount").cast(TT.TOTAL).alias("total_amount"))

@@ -8,6 +8,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyframe.operators import reconcile, versions
+from tallyframe.session import path_exists
 
 METRICS_SCHEMA = ("run_id string, stage string, recorded_at timestamp, duration_seconds double, read_count bigint, "
                   "accepted_count bigint, rejected_count bigint, changed_count bigint, error string")
@@ -56,10 +57,9 @@ def alerts(spark: SparkSession, root: str, n: int = 100) -> DataFrame:
 def check_freshness(spark: SparkSession, root: str, max_age_seconds: int, now: dt.datetime | None = None) -> bool:
     """False (and an alert row) when no batch was published within ``max_age_seconds`` of ``now``."""
     now = now or _now()
-    try:
+    published = spark.createDataFrame([], BATCH_SCHEMA)  # no batch was ever recorded
+    if path_exists(spark, f"{root}/batches"):
         published = batches(spark, root).filter(F.col("published_at").isNotNull())
-    except Exception:  # noqa: BLE001  (no journal yet)
-        published = spark.createDataFrame([], BATCH_SCHEMA)
     row = reconcile.freshness(published, "published_at", now, max_age_seconds).first()
     if row["is_stale"]:
         alert(spark, root, "freshness", {"last_published_at": str(row["last_published_at"]),

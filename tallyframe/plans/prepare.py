@@ -40,7 +40,57 @@ def _p(name: str):
     return F.col(f"p.{name}")
 
 
-def prepare(raw: DataFrame, form: str = "asof", method: str = "range", persist: bool = True) -> Prepared:
+def customer_rows(valid: DataFrame) -> DataFrame:
+    """Typed attribute changes of checked customer records."""
+    return valid.select(
+        _p("customer_id").alias("customer_id"), _p("region").alias("region"), _p("segment").alias("segment"),
+        _p("effective_at").try_cast("timestamp").alias("effective_at"),
+        _p("change_version").try_cast("bigint").alias("change_version"),
+        F.col("ingested_at").alias("received_at"), "record_hash", "batch_id", "source_record_id")
+
+
+def account_rows(valid: DataFrame) -> DataFrame:
+    """Typed versions of checked account records, with what a reject keeps."""
+    return valid.select(
+        _p("account_id").alias("account_id"), _p("customer_id").alias("customer_id"),
+        _p("currency").alias("currency"), _p("opened_at").try_cast("date").alias("opened_at"),
+        _p("status").alias("status"), _p("record_version").try_cast("bigint").alias("record_version"),
+        F.col("ingested_at").alias("received_at"), "record_hash", "entity", "payload", "batch_id", "source_record_id", "ingested_at")
+
+
+def transaction_rows(valid: DataFrame) -> DataFrame:
+    """Typed versions of checked transaction records, with what a reject keeps."""
+    return valid.select(
+        "entity", "payload", "batch_id", "source_record_id", "ingested_at", "record_hash",
+        _p("transaction_id").alias("transaction_id"), _p("account_id").alias("account_id"),
+        _p("currency").alias("currency"), _p("event_at").try_cast("timestamp").alias("event_at"),
+        _p("source_updated_at").try_cast("timestamp").alias("source_updated_at"),
+        _p("record_version").try_cast("bigint").alias("record_version"),
+        _p("amount").try_cast(TT.MONEY).alias("amount"), _p("status").alias("status"),
+        _p("direction").alias("direction"), _p("channel").alias("channel"), _p("memo").alias("memo"))
+
+
+def resolve_history(rows: DataFrame, method: str = "buckets") -> DataFrame:
+    return scd2.history(rows, "customer_id", "effective_at", ["change_version", "record_hash"], ["region", "segment"], method=method)
+
+
+def resolve_accounts(rows: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accounts, orphan rows): the winner of each account if its customer is known; every version with an unknown one is an orphan."""
+    winners = versions.latest_wins(rows.select(*TT.ACCOUNT_COLUMNS, "record_hash"), ["account_id"], ["record_version", "record_hash"])
+    return winners.join(known, "customer_id", "left_semi").select(*TT.ACCOUNT_COLUMNS), rows.join(known, "customer_id", "left_anti")
+
+
+def resolve_transactions(rows: DataFrame, accounts: DataFrame, history: DataFrame, form: str = "asof",
+                         method: str = "buckets") -> tuple[DataFrame, DataFrame]:
+    """(facts, failing rows with ``fk_reason``): rows are checked first, the winner is chosen among those that pass."""
+    bound = temporal.bind_to_accounts_and_history(rows, accounts, history, form=form, method=method)
+    good = bound.filter(F.col("fk_reason") == "").withColumn("received_at", F.col("ingested_at"))
+    cols = [*TT.TRANSACTION_COLUMNS, "memo"]
+    latest = versions.latest_wins(good.select(*cols), ["transaction_id"], ["record_version", "source_updated_at", "record_hash"])
+    return latest.select(*cols), bound.filter(F.col("fk_reason") != "")
+
+
+def prepare(raw: DataFrame, form: str = "asof", method: str = "buckets", persist: bool = True) -> Prepared:
     """``raw``: entity, payload, batch_id, source_record_id, ingested_at (all batches).
 
     The per-entity checked frames are persisted when ``persist`` (each is
@@ -58,43 +108,14 @@ def prepare(raw: DataFrame, form: str = "asof", method: str = "range", persist:
         slim = parts[e].select("entity", "batch_id", "source_record_id", "reason")
         checked = slim if checked is None else checked.unionByName(slim)
 
-    cust = halves["customers"][0].select(
-        _p("customer_id").alias("customer_id"), _p("region").alias("region"), _p("segment").alias("segment"),
-        _p("effective_at").try_cast("timestamp").alias("effective_at"),
-        _p("change_version").try_cast("bigint").alias("change_version"),
-        F.col("ingested_at").alias("received_at"), "record_hash")
     # history is dimension-sized and read by four later plans (known keys,
     # accounts filter, orphan check, binding): it is written once to the
     # shared work folder (lineage cut, computed once, survives executor loss).
-    history = scd2.history(cust, "customer_id", "effective_at", ["change_version", "record_hash"],
-                           ["region", "segment"], method=method)
-    history = materialize(history, "history")
+    history = materialize(resolve_history(customer_rows(halves["customers"][0]), method), "history")
     known = history.select("customer_id").distinct()
-
-    acc_valid = halves["accounts"][0]
-    acc_rows = acc_valid.select(
-        _p("account_id").alias("account_id"), _p("customer_id").alias("customer_id"),
-        _p("currency").alias("currency"), _p("opened_at").try_cast("date").alias("opened_at"),
-        _p("status").alias("status"), _p("record_version").try_cast("bigint").alias("record_version"),
-        F.col("ingested_at").alias("received_at"), "record_hash")
-    winners = versions.latest_wins(acc_rows, ["account_id"], ["record_version", "record_hash"])
-    accounts = winners.join(known, "customer_id", "left_semi").select(*TT.ACCOUNT_COLUMNS)
-    orphans = acc_valid.withColumn("customer_id", _p("customer_id")).join(known, "customer_id", "left_anti")
+    accounts, orphans = resolve_accounts(account_rows(halves["accounts"][0]), known)
     rejects.append(validation.as_rejects(orphans, F.lit("customer_fk")))
-
-    tx_valid = halves["transactions"][0].select(
-        "entity", "payload", "batch_id", "source_record_id", "ingested_at", "record_hash",
-        _p("transaction_id").alias("transaction_id"), _p("account_id").alias("account_id"),
-        _p("currency").alias("currency"), _p("event_at").try_cast("timestamp").alias("event_at"),
-        _p("source_updated_at").try_cast("timestamp").alias("source_updated_at"),
-        _p("record_version").try_cast("bigint").alias("record_version"),
-        _p("amount").try_cast(TT.MONEY).alias("amount"), _p("status").alias("status"),
-        _p("direction").alias("direction"), _p("channel").alias("channel"), _p("memo").alias("memo"))
-    bound = temporal.bind_to_accounts_and_history(tx_valid, accounts, history, form=form, method=method)
-    rejects.append(validation.as_rejects(bound.filter(F.col("fk_reason") != ""), "fk_reason"))
-    good = bound.filter(F.col("fk_reason") == "").withColumn("received_at", F.col("ingested_at"))
-    cols = [*TT.TRANSACTION_COLUMNS, "memo"]
-    latest = versions.latest_wins(good.select(*cols), ["transaction_id"],
-                                  ["record_version", "source_updated_at", "record_hash"])
-    return Prepared(history=history, accounts=accounts, transactions=latest.select(*cols),
+    facts, failing = resolve_transactions(transaction_rows(halves["transactions"][0]), accounts, history, form, method)
+    rejects.append(validation.as_rejects(failing, "fk_reason"))
+    return Prepared(history=history, accounts=accounts, transactions=facts,
                     quarantine=validation.quarantine(*rejects), checked=checked, parts=list(parts.values()))

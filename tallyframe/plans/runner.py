@@ -13,7 +13,10 @@ from tallyframe import types as TT
 from tallyframe.operators import reconcile, scd2, validation
 from tallyframe.plans import journal, publish, tables
 from tallyframe.plans.prepare import Prepared, prepare
+from tallyframe.session import materialize
 from tallyframe.sources import batch as B
+from tallyframe.sources import batches as BS
+from tallyframe.sources.layout import write_observed
 
 
 class Lake:
@@ -50,7 +53,7 @@ def raw_stage(spark: SparkSession, lake: Lake, folder: str, manifest: Mapping) -
     return B.ingest(spark, lake.raw, folder, manifest)
 
 
-def _prepared(spark: SparkSession, lake: Lake, method: str = "range") -> Prepared:
+def _prepared(spark: SparkSession, lake: Lake, method: str = "buckets") -> Prepared:
     raw = B.raw_table(spark, lake.raw)
     return prepare(raw, method=method)
 
@@ -158,31 +161,47 @@ def process(spark: SparkSession, lake: Lake, folder: str, manifest: Mapping | No
     return out
 
 
+def ingest_batches(spark: SparkSession, lake: Lake, folders: Sequence[str]):
+    """Check and append the raw records of all folders as one job set; returns (manifests, greatest schema version).
+
+    Manifests are one table (``sources.batches``), all files one scan.  Nothing is stored unless all batches are intact; a batch that is stored already adds nothing.
+    """
+    manifests = materialize(BS.read_manifests(spark, folders), "manifests")
+    span = manifests.agg(F.max("schema_version").alias("version"), F.min("batch_id").alias("lo"), F.max("batch_id").alias("hi")).first()
+    require_memo_column(spark, lake, [{"schema_version": span["version"]}])
+    problems = BS.check_batches(spark, folders).limit(5).collect()  # an excerpt for the message
+    if problems:
+        raise ValueError(f"batches are not intact, e.g. {[tuple(r) for r in problems]}")
+    incoming = BS.read_batches(spark, folders)
+    raw = B.raw_table(spark, lake.raw)
+    if raw is not None:  # batch ids begin with the day: only partitions of the range are read
+        incoming = B.insert_absent(raw.filter(F.col("batch_id").between(span["lo"], span["hi"])), incoming)
+    write_observed(incoming, lake.raw, {"rows": F.count(F.lit(1))}, ("entity", "batch_id"), "append")
+    stored = B.raw_table(spark, lake.raw).filter(F.col("batch_id").between(span["lo"], span["hi"]))
+    wrong = BS.count_mismatches(stored, manifests).limit(5).collect()
+    if wrong:
+        raise ValueError(f"raw records stored and listed differ, e.g. {[tuple(r) for r in wrong]}")
+    return manifests, span["version"]
+
+
 def backfill(spark: SparkSession, lake: Lake, folders: Sequence[str], maximum: float = TT.DEFAULT_MAX_REJECT_RATIO) -> dict:
-    """Load many daily batches as one job: ingest all, one recompute, one upsert.
+    """Load many daily batches as one job set, whatever their number: one check, one append, one recompute, one upsert.
 
-    The reject ratio is checked per batch from one aggregation over the
-    quarantine; the end state equals day-by-day processing whenever every
-    single batch would have passed its checks.
+    Reject ratios are grouped by batch.  The end state equals day-by-day processing whenever every single batch would have passed its checks.
     """
-    manifests = [(f, B.read_manifest(spark, f)) for f in folders]
-    if not manifests:
+    if not folders:
         raise ValueError("empty backfill range")
-    require_memo_column(spark, lake, [m for _, m in manifests])
-    for folder, manifest in manifests:
-        raw_stage(spark, lake, folder, manifest)
+    manifests, version = ingest_batches(spark, lake, folders)
     p = _prepared(spark, lake)
     try:
         v = tables.write_version(p.quarantine, lake.quarantine, operation="replace")
-        ids = [m["batch_id"] for _, m in manifests]
-        reads = {m["batch_id"]: sum(int(f["records"]) for f in m["files"]) for _, m in manifests}
-        q = tables.read_version(spark, lake.quarantine, v)
-        rejected = {r["batch_id"]: r["n"] for r in q.filter(F.col("batch_id").isin(ids))
-                    .groupBy("batch_id").agg(F.count(F.lit(1)).alias("n")).collect()}
-        for bid in ids:
-            validation.enforce({"read_count": reads[bid], "rejected_count": rejected.get(bid, 0),
-                                "accepted_count": reads[bid] - rejected.get(bid, 0)}, maximum)
-        return load_stage(spark, lake, manifests[-1][1], p=p)
+        rejected = tables.read_version(spark, lake.quarantine, v).groupBy(F.col("batch_id").alias("_of")).agg(F.count(F.lit(1)).alias("rejected"))
+        ratios = BS.listed_counts(manifests).join(rejected, F.col("batch_id") == F.col("_of"), "left").select(
+            "batch_id", F.col("listed_count").alias("read_count"), F.coalesce("rejected", F.lit(0).cast("bigint")).alias("rejected_count"))
+        worst = ratios.orderBy((F.col("rejected_count") / F.greatest("read_count", F.lit(1))).desc(), "batch_id").first()
+        validation.enforce({"batch_id": worst["batch_id"], "read_count": worst["read_count"], "rejected_count": worst["rejected_count"],
+                            "accepted_count": worst["read_count"] - worst["rejected_count"]}, maximum)
+        return load_stage(spark, lake, {"schema_version": version}, p=p)
     finally:
         p.release()
 

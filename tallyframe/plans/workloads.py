@@ -75,7 +75,7 @@ def duplicate_keys(spark, sf):
     return versions.duplicate_keys(li, ["l_orderkey", "l_linenumber"])
 
 
-def _history(spark, sf, method="range"):
+def _history(spark, sf, method="buckets"):
     ch = proxy.customer_changes(spark, sf)
     return scd2.history(ch, "customer_id", "effective_at", ["change_version", "record_hash"],
                         ["region", "segment"], method=method)
@@ -350,13 +350,13 @@ def schema_evolution_read(spark, sf):
 
 
 def compaction(spark, sf):
-    """Facts written day-partitioned in many small files, compacted; contents must stay equal."""
+    """Facts written in folders by month (some sixty rows a day: a day would be less than a file), compacted; contents must stay equal."""
     from tallyframe.plans import tables
     from tallyframe.session import work_dir
     table = work_dir(spark, "compact")
-    tx = proxy.transactions(spark, sf).withColumn("event_date", F.to_date("event_at"))
-    tables.write_version(tx, table, ["event_date"])
-    v = tables.compact(spark, table, ["event_date"])["version"]
+    tx = proxy.transactions(spark, sf).withColumn("event_month", F.to_date(F.trunc("event_at", "month")))
+    tables.write_version(tx, table, ["event_month"])
+    v = tables.compact(spark, table, ["event_month"])["version"]
     return fingerprint(tables.read_version(spark, table, v),
                        ["transaction_id", "account_id", "amount", "currency", "status", "channel"])
 

@@ -84,6 +84,23 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"cannot rename {old} to {new}")
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder if it is there."""
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
+
+
+def file_bytes(spark: SparkSession, path: str, suffix: str = "") -> int:
+    """Bytes of the files under ``path`` whose names end in ``suffix`` (from the file listing)."""
+    fs, at = _file_system(spark, path)
+    files, total = fs.listFiles(at, True), 0
+    while files.hasNext():
+        f = files.next()
+        if f.getPath().getName().endswith(suffix):
+            total += f.getLen()
+    return total
+
+
 def work_count(spark: SparkSession) -> int:
     """Number of work folders made so far (see ``release_work``)."""
     return len(_MADE.get(spark.sparkContext.applicationId, []))

@@ -2,7 +2,7 @@
 
 A file stream watches ``<sources>/*/manifest/*.json``.  ``write_batch``
 writes a batch's manifest after its data files, so a manifest row means a
-complete batch.  Each micro-batch hands its manifests to the batch path
+complete batch.  Each micro-batch hands its folders to the batch path
 (integrity check + insert-if-absent append + raw count check).  The
 stream's checkpoint records which manifests were processed; a replayed
 micro-batch appends nothing twice because the append is insert-if-absent.
@@ -26,15 +26,13 @@ def ingest_new_batches(spark: SparkSession, sources: str, lake: runner.Lake, che
                        available_now: bool = True):
     """Start the stream; with ``available_now`` it processes what exists and stops.
 
-    Manifests are small documents (one row per batch), so each micro-batch
-    brings them to the driver and runs the batch ingest per manifest in
-    processing-date order.
+    A micro-batch is one job set for all its batches (``runner.ingest_batches``); the driver sees folder names only, at most as many
+    as a trigger takes files.
     """
     def process(df: DataFrame, epoch_id: int) -> None:
-        for row in df.orderBy("processing_date", "batch_id").collect():
-            manifest = row.asDict(recursive=True)
-            folder = manifest.pop("folder")
-            runner.raw_stage(spark, lake, folder, manifest)
+        folders = [r["folder"] for r in df.select("folder").distinct().collect()]
+        if folders:
+            runner.ingest_batches(spark, lake, folders)
 
     writer = (manifest_stream(spark, sources).writeStream.foreachBatch(process)
               .option("checkpointLocation", checkpoint))
