@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyframe.operators import scd2, sequence, temporal
 from tallyframe.plans import publish, runner, tables
 from tallyframe.sources import batch as B
-from tests.fixtures import scenario
+from tests import ledger
 
 
 def rows_of(df):
@@ -17,19 +17,19 @@ def rows_of(df):
 
 
 def test_version_2_is_refused_before_the_memo_column_exists(spark, scratch):
-    initial, correction, *_, evolved = scenario(spark, f"{scratch}/sources")
+    opening, undone, noted = (ledger.write(spark, f"{scratch}/sources", n) for n in ("opening", "undone", "noted"))
     first = runner.Lake(f"{scratch}/first")
     with pytest.raises(ValueError, match="Schema v2"):
-        runner.process(spark, first, *evolved, publish_marts=False)
+        runner.process(spark, first, *noted, publish_marts=False)
     assert B.raw_table(spark, first.raw) is None  # refused before anything is stored
     middle = runner.Lake(f"{scratch}/middle")
     with pytest.raises(ValueError, match="Schema v2"):
-        runner.backfill(spark, middle, [initial[0], evolved[0], correction[0]])
+        runner.backfill(spark, middle, [opening[0], noted[0], undone[0]])
     assert B.raw_table(spark, middle.raw) is None
-    runner.backfill(spark, middle, [initial[0]])
+    runner.backfill(spark, middle, [opening[0]])
     tables.add_column(spark, middle.transactions, "memo", "string")
-    runner.backfill(spark, middle, [evolved[0], correction[0]])
-    assert [r["memo"] for r in tables.read_version(spark, middle.transactions).filter("memo is not null").collect()] == ["schema-v2"]
+    runner.backfill(spark, middle, [noted[0], undone[0]])
+    assert [r["memo"] for r in tables.read_version(spark, middle.transactions).filter("memo is not null").collect()] == ["re-counted"]
 
 
 def test_align_refuses_a_column_without_a_place(spark):

@@ -10,8 +10,8 @@ from tallyframe.functions import predicates as P
 from tallyframe.operators import reconcile, scd2, sequence, temporal, validation, versions
 from tallyframe.plans import publish, tables
 from tallyframe.sources import batch as B
-from tallyframe.sources import generate as G
 from tallyframe.sources import proxy
+from tests import ledger
 from tests.conftest import SMALL_SF
 
 
@@ -159,15 +159,13 @@ def test_versioned_table_time_travel_and_schema_guard(spark, scratch):
                                 tables.read_version(spark, table).drop("memo").schema)
 
 
-def test_generator_is_reproducible_and_sharded(spark, scratch):
-    f1, m1 = G.generate(spark, f"{scratch}/a", "2025-01-01", seed=71, count=200)
-    f2, m2 = G.generate(spark, f"{scratch}/b", "2025-01-01", seed=71, count=200)
-    _, m3 = G.generate(spark, f"{scratch}/c", "2025-01-01", seed=72, count=200)
+def test_batches_are_reproducible_and_sharded(spark, scratch):
+    f1, m1 = ledger.derived(spark, f"{scratch}/a", "2025-01-01", SMALL_SF, 5, 2)
+    _, m2 = ledger.derived(spark, f"{scratch}/b", "2025-01-01", SMALL_SF, 5, 2)
+    _, m3 = ledger.derived(spark, f"{scratch}/c", "2025-01-01", SMALL_SF, 5, 3)
     assert m1["batch_id"] == m2["batch_id"] and m1["batch_id"] != m3["batch_id"]
     assert [(f["records"], f["sha256"]) for f in m1["files"]] == [(f["records"], f["sha256"]) for f in m2["files"]]
     assert B.check_batch(spark, f1, m1).count() == 0
-    _, inv = G.generate(spark, f"{scratch}/d", "2025-01-02", scenario="invalid", count=10)
-    assert sum(f["records"] for f in inv["files"] if f["entity"] == "transactions") == 11
     rows = spark.range(100_001).select(F.col("id").alias("ordinal"), F.col("id").cast("string").alias("customer_id"))
     folder, man = B.write_batch(spark, f"{scratch}/e", "2025-01-01", {"customers": rows})
     assert [f["records"] for f in man["files"]] == [100_000, 1]
@@ -175,7 +173,7 @@ def test_generator_is_reproducible_and_sharded(spark, scratch):
 
 
 def test_manifest_detects_tampering_unknown_fields_and_bad_ordinals(spark, scratch):
-    folder, man = G.generate(spark, f"{scratch}/t", "2025-01-01", count=10)
+    folder, man = ledger.derived(spark, f"{scratch}/t", "2025-01-01", SMALL_SF, 9, 1)
     name = next(f["name"] for f in man["files"] if f["entity"] == "transactions")
     path = f"{folder}/{name}".replace("file:", "")
     with open(path, "a") as fh:
@@ -189,7 +187,7 @@ def test_manifest_detects_tampering_unknown_fields_and_bad_ordinals(spark, scrat
 
 
 def test_ingest_is_idempotent(spark, scratch):
-    folder, man = G.generate(spark, f"{scratch}/src", "2025-01-01", count=50)
+    folder, man = ledger.derived(spark, f"{scratch}/src", "2025-01-01", SMALL_SF, 5, 1)
     raw = f"{scratch}/raw"
     first = B.ingest(spark, raw, folder, man)
     again = B.ingest(spark, raw, folder, man)
@@ -260,13 +258,13 @@ def test_streaming_ingest_of_new_batches(spark, scratch):
     from tallyframe.plans import runner
     from tallyframe.streaming import ingest_new_batches
     sources = f"{scratch}/sources"
-    _, m1 = G.generate(spark, sources, "2025-01-01", count=20)
+    _, m1 = ledger.derived(spark, sources, "2025-01-01", SMALL_SF, 9, 1)
     lake = runner.Lake(f"{scratch}/lake")
     q = ingest_new_batches(spark, sources, lake, f"{scratch}/stream-checkpoint")
     q.awaitTermination(300)
     n1 = spark.read.parquet(lake.raw).count()
     assert n1 == sum(f["records"] for f in m1["files"])
-    _, m2 = G.generate(spark, sources, "2025-01-02", count=30, scenario="late")
+    _, m2 = ledger.derived(spark, sources, "2025-01-02", SMALL_SF, 9, 2)
     q = ingest_new_batches(spark, sources, lake, f"{scratch}/stream-checkpoint")
     q.awaitTermination(300)
     raw = spark.read.parquet(lake.raw)
