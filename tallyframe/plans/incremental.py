@@ -18,7 +18,7 @@ results are replaced whole per bucket, so a load that failed half way is simply
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -59,6 +59,7 @@ class State:
     spark: SparkSession
     root: str
     buckets: int
+    _touched: dict = field(default_factory=dict, repr=False)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -67,8 +68,11 @@ class State:
         return df.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int"))
 
     def touched(self, keys: DataFrame, key: str) -> list[int]:
-        """Numbers of the buckets that hold ``keys``."""
-        return sorted(r[0] for r in self.with_bucket(keys.select(key), key).select(BUCKET).distinct().collect())
+        """Numbers of the buckets that hold ``keys``; looked up once for each frame."""
+        if (id(keys), key) not in self._touched:
+            numbers = sorted(r[0] for r in self.with_bucket(keys.select(key), key).select(BUCKET).distinct().collect())
+            self._touched[id(keys), key] = (keys, numbers)  # the frame is kept, so its id is not given to another
+        return self._touched[id(keys), key][1]
 
     def read(self, name: str, like: StructType, buckets: list[int] | None = None) -> DataFrame:
         """A table without its bucket column; only ``buckets`` are scanned."""
@@ -162,6 +166,7 @@ def apply(state: State, raw: DataFrame) -> dict[str, int]:
     state.replace("transactions", new_facts, "transaction_id", facts)
     state.replace("orphans", orphans.select("account_id", *_reject(F.lit("customer_fk"))), "account_id", accounts)
     state.replace("failing", failing.select("transaction_id", *_reject(F.col("fk_reason"))), "transaction_id", facts)
+    state._touched.clear()
     return {"customers": customers.count(), "accounts": accounts.count(), "transactions": facts.count()}
 
 

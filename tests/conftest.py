@@ -14,7 +14,7 @@ SMALL_SF = "/root/testdata/sf0.001"
 def spark():
     from tallyframe.session import build_session
     scratch = tempfile.mkdtemp(prefix="tally-tests-")
-    session = build_session("local[*]", "tallyframe-tests", 8,
+    session = build_session("local[*]", "tallyframe-tests", 4,
                             {"spark.checkpoint.dir": f"{scratch}/checkpoints",
                              "spark.sql.warehouse.dir": f"{scratch}/warehouse",
                              # no client-side .crc files (as on object stores): tests edit files in place

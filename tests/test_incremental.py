@@ -62,7 +62,7 @@ def test_rescued_rebound_moved_and_vanished(spark):
     assert model.quarantine_of(I.result(state, "quarantine")) == before
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_random_loads_equal_the_full_recompute(spark, seed):
     rng = random.Random(seed)
     records = []
