@@ -43,6 +43,10 @@ NUM, DEN = 75, 100
 HOT_SHARE, HOT_LEAST = 2000, 256
 BUCKET_TOKENS = 2_000_000
 TILE = 1024
+#: Groups of at most SMALL sets are compared many at once, CALL_ROWS sets a call; larger ones one by one.
+SMALL, CALL_ROWS = 16, 2048
+#: Elements compared at once.
+SLICE = 1 << 20
 _SALTS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344), np.uint64(0xA4093822299F31D0))
 
 
@@ -91,7 +95,8 @@ def signatures(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
                 sizes.append(np.diff(at))
                 keys.append(k)
             n, key = np.concatenate(sizes or [np.zeros(0, np.int64)]), np.concatenate(keys or [np.zeros(0, np.int64)])
-            fresh = np.sort(np.concatenate(fresh)) if fresh else np.zeros(0, np.uint64)
+            fresh = np.concatenate(fresh) if fresh else np.zeros(0, np.uint64)
+            fresh.sort()
             starts = np.flatnonzero(np.concatenate([[True], fresh[1:] != fresh[:-1]])) if len(fresh) else np.zeros(0, np.int64)
             times = np.diff(np.concatenate([starts, [len(fresh)]]))
             often = times >= 2
@@ -288,10 +293,46 @@ def similar(sets: list[np.ndarray], n: np.ndarray, candidates) -> tuple[np.ndarr
     return forest(left[ok], right[ok], m)
 
 
-def tile_links(members: DataFrame, items: str, wanted: list[str], verify) -> DataFrame:
-    """Run ``verify`` over every group (column group_id) of keys, whole or as pairs of tiles that share an element of ``items``.
+def ragged(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Arrays one after the other, and their offsets."""
+    return np.concatenate(rows), np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+
+
+def commons(flat: np.ndarray, off: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Numbers of common elements of pairs of rows of distinct elements, sorted together in slices of bounded size."""
+    _, rank = np.unique(flat, return_inverse=True)
+    width = int(rank.max()) + 1 if len(rank) else 1
+    size = np.diff(off)
+    out = np.zeros(len(left), np.int64)
+    upto = np.cumsum(size[left] + size[right])
+    lo = 0
+    while lo < len(left):
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + SLICE, "right")))
+        keys = []
+        for side in (left[lo:hi], right[lo:hi]):
+            n = size[side]
+            at = np.arange(int(n.sum())) + np.repeat(off[side] - (np.cumsum(n) - n), n)
+            keys.append(np.repeat(np.arange(hi - lo), n) * width + rank[at])
+        key = np.concatenate(keys)
+        key.sort()
+        out[lo:hi] = np.bincount(key[1:][key[1:] == key[:-1]] // width, minlength=hi - lo)
+        lo = hi
+    return out
+
+
+def pairs_within(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of rows (left < right) of equal, ascending group numbers; meant for groups of a few rows."""
+    stop = np.searchsorted(group, group, "right")
+    n = stop - np.arange(len(group)) - 1
+    left = np.repeat(np.arange(len(group)), n)
+    return left, left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n)
+
 
-    ``verify`` takes the sorted rows of a group (columns key and ``wanted``) and returns forest links by position.
+def tile_links(members: DataFrame, items: str, wanted: list[str], verify, verify_pairs) -> DataFrame:
+    """Links within every group (column group_id) of keys: of small groups many at once, of others whole or as pairs of tiles that share an element of ``items``.
+
+    ``verify`` takes the sorted rows of a group (columns key and ``wanted``) and returns forest links by position;
+    ``verify_pairs`` takes sorted rows of many groups and pairs of positions and says which are links.
     """
     sizes = members.groupBy("group_id").agg(F.count("*").alias("members")).filter("members > 1")
     members = materialize(members.join(sizes, "group_id").withColumn("tiles", F.ceil(F.col("members") / TILE).cast("int"))
@@ -305,7 +346,21 @@ def tile_links(members: DataFrame, items: str, wanted: list[str], verify) -> Dat
         keys = group["key"].to_numpy()
         return pd.DataFrame({"a": keys[left], "b": keys[right]})
 
-    small = members.filter("tiles = 1").select("group_id", "key", *wanted).groupBy("group_id").applyInPandas(run, "a bigint, b bigint")
+    def run_many(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.drop_duplicates(["group_id", "key"]).sort_values(["group_id", "key"], ignore_index=True)
+        size = rows.groupby("group_id")["key"].transform("size")
+        few = rows[(size <= SMALL).to_numpy()].reset_index(drop=True)
+        left, right = pairs_within(few["group_id"].to_numpy())
+        ok = verify_pairs(few, left, right)
+        left, right = forest(left[ok], right[ok], len(few))
+        keys = few["key"].to_numpy()
+        out = [pd.DataFrame({"a": keys[left], "b": keys[right]})]
+        return pd.concat([*out, *(run(g) for _, g in rows[(size > SMALL).to_numpy()].groupby("group_id"))], ignore_index=True)
+
+    whole = members.filter("tiles = 1").select("group_id", "key", *wanted)
+    calls = max(1, -(-whole.count() // CALL_ROWS))
+    small = (whole.withColumn("call", F.pmod(F.xxhash64("group_id"), F.lit(calls)).cast("int")).repartition(calls, "call")
+             .groupBy("call").applyInPandas(run_many, "a bigint, b bigint"))
     large = members.filter("tiles > 1")
     held = large.select("group_id", "tile", F.explode(items).alias("token")).distinct()
     other = held.select(F.col("group_id").alias("g"), F.col("tile").alias("tile2"), F.col("token").alias("t"))
@@ -328,13 +383,29 @@ def verified_links(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return similar([_eight(x) for x in group["shared"]], group["n"].to_numpy(np.int64), candidates)
 
 
+def verified_pairs(rows: pd.DataFrame, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The same for given pairs of rows: a pair that fails one order's filter is not held against the next."""
+    ok = np.zeros(len(left), bool)
+    if not len(left):
+        return ok
+    sets = [_eight(x) for x in rows["shared"]]
+    mine = np.arange(len(left))
+    for name in ("p1", "p2", "p3"):
+        flat, off = ragged([s[np.frombuffer(x, np.uint32)] for s, x in zip(sets, rows[name])])
+        mine = mine[commons(flat, off, left[mine], right[mine]) > 0]
+    n = rows["n"].to_numpy(np.int64)
+    common = commons(*ragged(sets), left[mine], right[mine])
+    ok[mine] = DEN * common >= NUM * (n[left[mine]] + n[right[mine]] - common)
+    return ok
+
+
 def links(found: DataFrame) -> DataFrame:
     """Links (a, b) between keys of ``records`` output: a spanning forest of every tile."""
     index = found.select("key", F.explode("prefix").alias("token"))
     least = index.groupBy("token").agg(F.min("key").alias("least"), F.count("*").alias("n")).filter("n > 1")
     root = components(index.join(least, "token").select("key", "least"), "key", "least")
     grouped = found.join(root, F.col("key") == F.col("node"), "left").withColumn("group_id", F.coalesce("root", "key")).drop("node", "root")
-    return tile_links(grouped, "prefix", ["n", "shared", "p1", "p2", "p3"], verified_links)
+    return tile_links(grouped, "prefix", ["n", "shared", "p1", "p2", "p3"], verified_links, verified_pairs)
 
 
 def _classes(docs: DataFrame, carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:

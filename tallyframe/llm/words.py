@@ -107,10 +107,11 @@ def _lowered(places: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the bytes of ascending spans that do not overlap: value * base**(position within the span), summed, modulo 2**64."""
+    """64-bit hashes of the bytes of ascending spans that do not overlap: value * base**(place within the span, from 1), summed, modulo 2**64."""
     h = _prefix_at(data, end)
     h -= _prefix_at(data, start)
     h *= _lowered(start)
+    h *= _BASE
     h += (end - start).astype(np.uint64)
     return mix(h)
 
