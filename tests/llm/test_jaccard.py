@@ -75,3 +75,25 @@ def test_odd_inputs(spark):
     df = spark.createDataFrame(rows, schema)
     assert got(J.jaccard_components(df)) == brute([r[:2] for r in rows])
     assert J.jaccard_components(df.limit(0)).collect() == []
+
+
+def test_many_small_groups_at_once_equal_one_by_one(spark, monkeypatch):
+    texts = [t for seed in range(12) for t in near_copies(2 + seed, seed, 60, 6)] + near_copies(40, 99, 60, 8)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    want = brute(list(enumerate(texts)))
+    for small, rows in ((16, 2048), (0, 2048), (100, 7)):
+        monkeypatch.setattr(J, "SMALL", small)
+        monkeypatch.setattr(J, "CALL_ROWS", rows)
+        assert got(J.jaccard_components(docs)) == want
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 10])
+def test_common_elements_of_pairs(monkeypatch, limit):
+    monkeypatch.setattr(J, "SLICE", limit)
+    rng = np.random.default_rng(3)
+    sets = [rng.choice(50, n, replace=False).astype(np.uint64) << np.uint64(40) for n in rng.integers(0, 30, 40)]
+    group = np.sort(rng.integers(0, 9, 40))
+    left, right = J.pairs_within(group)
+    assert list(zip(left, right)) == [(i, j) for i in range(40) for j in range(i + 1, 40) if group[i] == group[j]]
+    assert J.commons(*J.ragged(sets), left, right).tolist() == [len(set(sets[i]) & set(sets[j])) for i, j in zip(left, right)]
+    assert len(J.commons(np.zeros(0, np.uint64), np.zeros(1, np.int64), left[:0], right[:0])) == 0
