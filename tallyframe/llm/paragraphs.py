@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm import words as W
 from tallyframe.llm.components import components
-from tallyframe.llm.jaccard import SHINGLE, set_keys, similar, tile_links
+from tallyframe.llm.jaccard import DEN, NUM, SHINGLE, commons, ragged, set_keys, similar, tile_links
 from tallyframe.llm.sieve import sieve
 from tallyframe.session import materialize, release_work, work_count
 
@@ -171,10 +171,21 @@ def line_clusters(lines: DataFrame) -> DataFrame:
 
         return similar([np.unique(np.frombuffer(x, np.uint32)) for x in group["shared"]], group["n"].to_numpy(np.int64), collide)
 
-    return components(tile_links(members, "bands", ["n", "bands", "shared"], verify), "a", "b")
+    def verify_pairs(rows: pd.DataFrame, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        ok = np.zeros(len(left), bool)
+        if not len(left):
+            return ok
+        marks = np.stack(rows["bands"].to_numpy())
+        mine = np.flatnonzero((marks[left] == marks[right]).any(axis=1))
+        n = rows["n"].to_numpy(np.int64)
+        common = commons(*ragged([np.unique(np.frombuffer(x, np.uint32)) for x in rows["shared"]]), left[mine], right[mine])
+        ok[mine] = DEN * common >= NUM * (n[left[mine]] + n[right[mine]] - common)
+        return ok
 
+    return components(tile_links(members, "bands", ["n", "bands", "shared"], verify, verify_pairs), "a", "b")
 
-_IN_GONE = "exists(gone, g -> g.start <= start and g.stop >= start + {})".format(PIECE_WORDS)
+
+_IN_GONE = "exists(gone, g -> g.start <= x.start and g.stop >= x.start + {})".format(PIECE_WORDS)
 
 
 def _occurrences(rows: DataFrame, live, stop) -> DataFrame:
@@ -261,8 +272,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     gone = materialize(of_lines.filter("not held").groupBy(F.col("d").alias("_g")).agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("gone")), "gone")
     several = materialize(pieces.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("key").alias("k")), "several")
     # pieces within removed lines are settled
-    matched = materialize(sieve(pieces, "key", several, "k").join(several, F.col("key") == F.col("k")).join(gone, F.col("d") == F.col("_g"), "left")
-                          .filter(f"gone is null or not {_IN_GONE}").select("d", "doc_id", "start", "key"), "matched")
+    found = (sieve(pieces, "key", several, "k").join(several, F.col("key") == F.col("k")).groupBy("d", "doc_id").agg(F.collect_list(F.struct("start", "key")).alias("found"))
+             .join(gone, F.col("d") == F.col("_g"), "left"))
+    matched = materialize(found.select("d", "doc_id", F.inline(F.expr(f"filter(found, x -> gone is null or not {_IN_GONE})"))), "matched")
     here = F.struct("doc_id", "d", "start")
     again = matched.groupBy(F.col("key").alias("k")).agg(F.min(here).alias("first"), F.max(here).alias("last")).filter("first <> last").select("k")
     near = (matched.join(again, F.col("key") == F.col("k")).groupBy("d").agg(F.collect_set("start").alias("places"))
