@@ -11,8 +11,8 @@ and ``parse`` restores every character.  The loss mask lists the (start, end) co
 texts in the formatted string, marks excluded.
 
 Defined cases: null text or role counts as empty; a null conv_id is a conversation of its own; a parent that
-does not exist makes a root; messages whose parents form a cycle belong to no path and are left out; rows that
-repeat (conv_id, msg_id) count once (the smallest by parent, role, text); an empty table gives no rows; extra columns are ignored.
+does not exist, or is null, makes a root; a message without msg_id can have a parent but no replies (such rows are told apart by
+their content); messages whose parents form a cycle belong to no path and are left out; rows that repeat (conv_id, msg_id) count once (the smallest by parent, role, text); an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -70,9 +70,10 @@ def branches(messages: DataFrame, keep: int = 1) -> DataFrame:
     ties go to the smaller leaf id.  depth 0 is the root.
     """
     spark = messages.sparkSession
-    node = F.struct("conv_id", "msg_id")
-    rows = messages.groupBy("conv_id", "msg_id").agg(F.min(F.struct("parent_id", "role", "text", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))).alias("m"))
-    rows = materialize(rows.select(node.alias("node"), F.struct("conv_id", F.col("m.parent_id").alias("msg_id")).alias("up"), "m.role", "m.text", "m.score", "conv_id", "msg_id"), "turns")
+    content = F.when(F.col("msg_id").isNull(), F.xxhash64("parent_id", "role", "text", "score"))
+    node = F.struct("conv_id", "msg_id", "_n")
+    rows = messages.withColumn("_n", content).groupBy("conv_id", "msg_id", "_n").agg(F.min(F.struct("parent_id", "role", "text", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))).alias("m"))
+    rows = materialize(rows.select(node.alias("node"), F.when(F.col("m.parent_id").isNotNull(), F.struct("conv_id", F.col("m.parent_id").alias("msg_id"), F.lit(None).cast("long").alias("_n"))).alias("up"), "m.role", "m.text", "m.score", "conv_id", "msg_id"), "turns")
     known = rows.select(F.col("node").alias("up_node"))
     pointers = materialize(rows.join(known, F.col("up") == F.col("up_node"), "left")
                            .select("node", F.col("up_node").alias("up"), F.col("score").alias("total"), F.lit(1).cast("long").alias("steps")), "reach")
@@ -91,7 +92,7 @@ def branches(messages: DataFrame, keep: int = 1) -> DataFrame:
     parents = rows.select(F.col("up").alias("node")).distinct()
     leaves = (rounds[-1].filter("up is null").join(parents, "node", "left_anti")
               .select(F.col("node.conv_id").alias("conv_id"), F.col("node").alias("leaf"), F.col("total").alias("branch_score"), "steps"))
-    best = Window.partitionBy("conv_id").orderBy(F.col("branch_score").desc(), F.col("leaf.msg_id"))
+    best = Window.partitionBy("conv_id").orderBy(F.col("branch_score").desc(), F.col("leaf.msg_id"), F.col("leaf._n"))
     chosen = leaves.withColumn("branch_rank", F.row_number().over(best)).filter(F.col("branch_rank") <= keep)
     paths = materialize(chosen.select("leaf", "branch_rank", "branch_score", F.col("leaf").alias("node"), (F.col("steps") - 1).alias("depth")), "paths")
     for k, p in enumerate(rounds):

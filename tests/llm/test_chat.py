@@ -54,3 +54,10 @@ def test_long_thread(spark):
     rows = [(7, i, i - 1 if i else None, "user", str(i), 0.0, None) for i in range(300)]
     out = C.format_conversations(spark.createDataFrame(rows, COLS)).collect()
     assert len(out) == 1 and [t for _, t in C.parse(out[0]["formatted"])] == [str(i) for i in range(300)]
+
+
+def test_messages_without_an_id(spark):
+    rows = [(1, 1, None, "user", "q", 0.0, None), (1, 2, 1, "assistant", "a", 1.0, None), (1, None, 2, "user", "late", 5.0, None), (1, None, 2, "user", "later", 4.0, None),
+            (1, None, 2, "user", "late", 5.0, None), (2, None, None, "user", "alone", 0.0, None), (None, None, None, "user", "lost", 0.0, None)]
+    got = {(r["conv_id"], r["branch_rank"]): [t for _, t in C.parse(r["formatted"])] for r in C.format_conversations(spark.createDataFrame(rows, COLS), 9).collect()}
+    assert got == {(1, 1): ["q", "a", "late"], (1, 2): ["q", "a", "later"], (2, 1): ["alone"], (None, 1): ["lost"]}
