@@ -4,12 +4,14 @@ Each row is placed on a three-dimensional Hilbert curve by its quantised metadat
 size).  All rows are ordered along the curve and the order is cut into shards of equal row counts, so a
 shard's file covers a compact box of the metadata space and readers prune files on any of the dimensions.
 
-The global position of a row needs no global sort in one task.  A row's run is (curve cell, text checksum
-bits, salt); runs are counted with a partial aggregation (at most CELLS * SUBS * SALTS rows, whatever the
-input), running totals over these counts give each run its first position, and a row's position inside
-its run comes from a window over the run.  The salt is a hash of ``doc_id``: a group of equal texts, or a
-cell that holds a third of all rows, is spread over several window groups and yet stays one stretch of
-the order.
+The global position of a row needs no global sort in one task.  Rows of a cell are ordered by text checksum, so equal texts of one cell are
+one stretch of the order.  A row's run is (cell, range of checksums, phase, salt); runs are counted with a partial aggregation, running totals
+over these counts give each run its first position, and a row's position inside its run comes from a window over the run.  The number of ranges follows the number of
+rows.  A text that repeats very often is found by a sketch of fixed size and gets a phase of its own, whose rows are salted: it is spread over
+several window groups and yet stays one stretch.
+
+Which groups of equal texts are torn: those that stand on one of the cuts between shards, as any law of equal counts must cut a group that is larger than a
+shard, and those whose rows differ in language or source, which lie in different cells of the curve.
 
 Defined cases: a null language or source has coordinate 0; a null text has size 1 and checksum 0; equal
 rows are interchangeable and get different slots; an empty table gives no rows; extra columns are
@@ -24,8 +26,10 @@ from pyspark.sql import functions as F
 BITS = 4
 DIMS = 3
 CELLS = 1 << (BITS * DIMS)
-SUBS = 16
-SALTS = 16
+#: Rows that a range of checksums of a cell, or a salt of one text, is meant for.
+RUN_ROWS = 50_000
+#: Texts with at least 1 / HOT_SHARE of all rows (in one cell) are salted; the sketch tracks TRACKED of them.
+HOT_SHARE, TRACKED = 1000, 8192
 
 
 def _rotate_right(x: int, k: int) -> int:
@@ -89,18 +93,54 @@ def _name_coordinate(c: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(c.cast("string").cast("binary")), F.lit(1 << BITS)), F.lit(0)).cast("int")
 
 
-def placed(docs: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32 and the row's run (cell, sub, salt)."""
+def placed(docs: DataFrame, bits: int) -> DataFrame:
+    """``docs`` with _size, _crc, _cell and _sub, the range of checksums (their first ``bits`` bits)."""
     raw = F.encode(F.col("text"), "UTF-8")
     size = F.coalesce(F.octet_length(F.col("text")), F.lit(0)).cast("long") + 1
     crc = F.coalesce(F.crc32(raw), F.lit(0)).cast("long")
-    log_size = F.least(F.floor(F.log2(size.cast("double"))), F.lit((1 << BITS) - 1)).cast("int")
-    base = docs.select(F.col("doc_id"), size.alias("size"), crc.alias("text_crc32"),
-                       _name_coordinate(F.col("lang")).alias("x"), _name_coordinate(F.col("source")).alias("y"),
-                       log_size.alias("z"))
-    return base.select("doc_id", "size", "text_crc32", hilbert_index(F.col("x"), F.col("y"), F.col("z")).alias("cell"),
-                       F.pmod(F.col("text_crc32"), F.lit(SUBS)).cast("int").alias("sub"),
-                       F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    log_size = F.least(F.floor(F.log2(F.col("_size").cast("double"))), F.lit((1 << BITS) - 1)).cast("int")
+    base = docs.withColumn("_size", size).withColumn("_crc", crc)
+    cell = hilbert_index(_name_coordinate(F.col("lang")), _name_coordinate(F.col("source")), log_size)
+    return base.withColumn("_cell", cell).withColumn("_sub", F.floor(F.col("_crc") / (1 << (32 - bits))).cast("int"))
+
+
+def frequent_texts(rows: DataFrame) -> DataFrame:
+    """(cell, hot): checksum and number of salts of each text that repeats very often in a cell; at most HOT_SHARE."""
+    code = (F.col("_cell").cast("long") * (1 << 32) + F.col("_crc")).alias("code")
+    top = rows.select(code).agg(F.expr(f"approx_top_k(code, {2 * HOT_SHARE}, {TRACKED})").alias("top"), F.count("*").alias("n"))
+    each = top.select(F.explode("top").alias("x"), "n").filter((F.col("x.count") * HOT_SHARE >= F.col("n")) & (F.col("x.count") > RUN_ROWS))
+    crc, cell = F.col("x.item") % (1 << 32), F.floor(F.col("x.item") / (1 << 32)).cast("int")
+    return each.select(cell.alias("cell"), F.struct(crc.alias("crc"), (F.floor(F.col("x.count") / RUN_ROWS) + 1).alias("salts")).alias("hot"))
+
+
+def ranked(docs: DataFrame, shards: int) -> DataFrame:
+    """``docs`` with _size, _crc, _cell, _shard and _slot."""
+    bits = max(4, (docs.count() // RUN_ROWS).bit_length())
+    rows = placed(docs, bits)
+    hot = frequent_texts(rows).groupBy("cell").agg(F.sort_array(F.collect_list("hot")).alias("hots"))
+    # texts before a frequent one, itself, those after it, and so on
+    mine = F.filter("hots", lambda h: h.crc == F.col("_crc"))
+    before = F.size(F.filter("hots", lambda h: h.crc < F.col("_crc")))
+    phase = F.when(F.col("hots").isNull(), 0).otherwise(2 * before + F.size(mine))
+    salt = F.when(F.size(mine) > 0, F.pmod(F.xxhash64("doc_id"), F.try_element_at(mine, F.lit(1))["salts"])).otherwise(0)
+    rows = (rows.join(F.broadcast(hot), F.col("_cell") == F.col("cell"), "left").withColumn("_phase", phase).withColumn("_salt", F.coalesce(salt, F.lit(0)).cast("long")).drop("cell", "hots"))
+    run = ["_cell", "_sub", "_phase", "_salt"]
+    counts = rows.groupBy(*run).agg(F.count("*").alias("n"))
+    # running totals in two levels: inside a cell (its runs), over the cells (at most CELLS)
+    inside = Window.partitionBy("_cell").orderBy("_sub", "_phase", "_salt").rowsBetween(Window.unboundedPreceding, -1)
+    within = counts.withColumn("before", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    cells = counts.groupBy("_cell").agg(F.sum("n").alias("cell_n"))
+    along = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.select("_cell", F.coalesce(F.sum("cell_n").over(along), F.lit(0)).alias("first"),
+                         F.sum("cell_n").over(Window.partitionBy()).alias("total"))
+    starts = within.join(F.broadcast(cells), "_cell").select(*run, (F.col("before") + F.col("first")).alias("_start"), F.col("total").alias("_total"))
+    order = Window.partitionBy(*run).orderBy("_crc", "doc_id", "_size")
+    placed_rows = rows.withColumn("_place", F.row_number().over(order) - 1)
+    shard = F.expr(f"cast((_rank * {shards}) div _total as int)")
+    first_of_shard = F.expr(f"(cast(_shard as bigint) * _total + {shards - 1}) div {shards}")
+    return (placed_rows.join(starts, run).withColumn("_rank", (F.col("_start") + F.col("_place")).cast("long"))
+            .withColumn("_shard", shard).withColumn("_slot", (F.col("_rank") - first_of_shard).cast("long"))
+            .select(*docs.columns, "_size", "_crc", "_cell", "_shard", "_slot"))
 
 
 def assign(docs: DataFrame, shards: int = 8) -> DataFrame:
@@ -108,33 +148,16 @@ def assign(docs: DataFrame, shards: int = 8) -> DataFrame:
 
     Needs doc_id, text, lang, source; returns doc_id, size, text_crc32, cell, shard, slot.
     """
-    rows = placed(docs)
-    run = ["cell", "sub", "salt"]
-    counts = rows.groupBy(*run).agg(F.count("*").alias("n"))
-    # running totals in two levels: inside a cell (at most SUBS * SALTS rows), over the cells (at most CELLS)
-    inside = Window.partitionBy("cell").orderBy("sub", "salt").rowsBetween(Window.unboundedPreceding, -1)
-    within = counts.withColumn("before", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    cells = counts.groupBy("cell").agg(F.sum("n").alias("cell_n"))
-    along = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.select("cell", F.coalesce(F.sum("cell_n").over(along), F.lit(0)).alias("first"),
-                         F.sum("cell_n").over(Window.partitionBy()).alias("total"))
-    starts = within.join(F.broadcast(cells), "cell").select(*run, (F.col("before") + F.col("first")).alias("start"), "total")
-    order = Window.partitionBy(*run).orderBy("text_crc32", "doc_id", "size")
-    ranked = rows.withColumn("place", F.row_number().over(order) - 1)
-    shard = F.expr(f"cast((rank * {shards}) div total as int)")
-    first_of_shard = F.expr(f"(cast(shard as bigint) * total + {shards - 1}) div {shards}")
-    return (ranked.join(starts, run).withColumn("rank", (F.col("start") + F.col("place")).cast("long"))
-            .withColumn("shard", shard).withColumn("slot", (F.col("rank") - first_of_shard).cast("long"))
-            .select("doc_id", "size", "text_crc32", "cell", "shard", "slot"))
+    names = {"_size": "size", "_crc": "text_crc32", "_cell": "cell", "_shard": "shard", "_slot": "slot"}
+    return ranked(docs.select("doc_id", "text", "lang", "source"), shards).select("doc_id", *[F.col(a).alias(b) for a, b in names.items()])
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 8) -> None:
     """Write all columns of ``docs`` with ``_shard``, ``_cell`` as one folder per shard, in curve order inside each file.
 
-    ``doc_id`` must be unique here; nulls are written to shard -1.
+    Every row is written once, whatever its doc_id: null and repeated ids too lie in one of the shards 0 to ``shards`` - 1.
     """
-    where = assign(docs, shards).select(F.col("doc_id").alias("_id"), F.col("shard").alias("_shard"), F.col("cell").alias("_cell"), F.col("slot").alias("_slot"))
-    out = docs.join(where, docs["doc_id"] == where["_id"], "left").drop("_id").withColumn("_shard", F.coalesce("_shard", F.lit(-1)))
+    out = ranked(docs, shards).drop("_size", "_crc")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (out.repartitionByRange(max(parts, shards), "_shard", "_slot").sortWithinPartitions("_shard", "_slot")
      .write.partitionBy("_shard").parquet(path))

@@ -53,3 +53,27 @@ def test_write_shards(spark, scratch):
     S.write_shards(docs, f"{scratch}/shards")
     back = spark.read.parquet(f"{scratch}/shards")
     assert back.count() == docs.count() and back.select("_shard").distinct().count() == 8
+
+
+def test_write_shards_keeps_null_and_repeated_ids(spark, scratch):
+    rows = [(None, "a", "en", "s"), (None, "b", "en", "s"), (1, "c", "de", None), (1, "d", None, "s"), (1, "c", "de", None)] * 4
+    S.write_shards(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string"), f"{scratch}/odd")
+    back = spark.read.parquet(f"{scratch}/odd")
+    assert sorted(map(str, map(tuple, back.select("doc_id", "text", "lang", "source").collect()))) == sorted(map(str, rows))
+    assert {r["_shard"] for r in back.select("_shard").collect()} == set(range(8))
+
+
+def test_equal_texts_of_a_cell_are_one_stretch(spark, monkeypatch):
+    monkeypatch.setattr(S, "RUN_ROWS", 20)
+    rows = [(i, "hot text" if i % 3 == 0 else f"text {i % 200:03d}", "en", "s") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").repartition(5)
+    assert S.frequent_texts(S.placed(docs, 4)).count() >= 1
+    got = S.assign(docs).collect()
+    check(got, docs.collect())
+    order = sorted(got, key=lambda r: (r["shard"], r["slot"]))
+    stretches = [r["text_crc32"] for i, r in enumerate(order) if i == 0 or (order[i - 1]["cell"], order[i - 1]["text_crc32"]) != (r["cell"], r["text_crc32"])]
+    assert len(stretches) == len(set(stretches))  # no group is torn but by a cut between shards
+    shards = {}
+    for r in order:
+        shards.setdefault(r["text_crc32"], set()).add(r["shard"])
+    assert sum(len(s) > 1 for s in shards.values()) <= 7 and max(shards.values(), key=len) == shards[zlib.crc32(b"hot text")]
