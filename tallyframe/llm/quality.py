@@ -92,7 +92,7 @@ def probability(column: pa.Array, p: dict[str, np.ndarray]) -> np.ndarray:
     """Probability of label 1 of each whole text."""
     raw, off = W.buffers(column)
     out = np.zeros(len(column))
-    for i, j in W.chunks(off, 2 << 20):
+    for i, j in W.chunks(off, 1 << 20):
         sym, first, windows = symbols(raw, off[i:j + 1])
         mean, top = pooled(responses(sym, p), first, windows)
         out[i:j] = T.sigmoid(mean @ p["mean"] + top @ p["top"] + p["b"][0])

@@ -25,12 +25,17 @@ from tallyframe.llm.toxicity import op2_factorization_machine
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
-def with_code(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """Let Python workers import this package from the folder the driver imported it from, wherever the job was started."""
+#: Of Python workers: where this package is, and memory that goes back to the system as soon as an array is dropped.
+WORKERS = {"PYTHONPATH": ROOT, "ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576"}
+
+
+def with_code(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Let Python workers import this package from the folder the driver imported it from, wherever the job was started, and keep them small."""
     @functools.wraps(query)
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
-        return query(spark, sf_dir)
+    def run(spark: SparkSession, *given) -> DataFrame:
+        for name, value in WORKERS.items():
+            spark.sparkContext.environment.setdefault(name, value)
+        return query(spark, *given)
 
     return run
 
