@@ -6,12 +6,11 @@ docs.  All but the last return the columns of ``documents``; ``n_chars`` follows
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm import decontaminate, jaccard, packing, paragraphs, quality, training
+from tallyframe.llm.queries import with_code
 from tallyframe.session import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -57,15 +56,14 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-STAGES = [("quality", good_quality), ("near_duplicates", one_of_each_group), ("repeated_passages", without_repeated_passages),
-          ("decontamination", without_benchmark), ("packing", packed)]
+STAGES = [(name, with_code(stage)) for name, stage in (
+    ("quality", good_quality), ("near_duplicates", one_of_each_group), ("repeated_passages", without_repeated_passages), ("decontamination", without_benchmark), ("packing", packed))]
 
 #: The first stage is a learned network, which SQL cannot express; tests/llm checks the stages against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.sparkContext.environment.setdefault("PYTHONPATH", os.path.dirname(os.path.abspath(__file__)))  # for Python workers
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name)
