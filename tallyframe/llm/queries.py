@@ -26,7 +26,7 @@ ROOT = str(Path(__file__).resolve().parents[2])
 
 
 #: Of Python workers: where this package is, and memory that goes back to the system as soon as an array is dropped.
-WORKERS = {"PYTHONPATH": ROOT, "ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576"}
+WORKERS = {"PYTHONPATH": ROOT, "ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": "8388608", "MALLOC_TRIM_THRESHOLD_": "16777216"}
 
 
 def with_code(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
