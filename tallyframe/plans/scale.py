@@ -95,8 +95,8 @@ def _order_lines(spark, sf):
 
 
 #: Order year -> fault of its batch.
-BATCH_FAULTS = {1993: "count", 1994: "missing_file", 1995: "unapproved_fields", 1996: "ordinal", 1997: "checksum", 1998: "identity"}
-YEARS = tuple(range(1992, 1999))
+BATCH_FAULTS = {1996: "count", 1997: "missing_file", 1998: "unapproved_fields", 1999: "ordinal", 2000: "checksum", 2001: "identity"}
+YEARS = tuple(range(1995, 2002))
 
 
 def _year_batches(spark, sf, faults):
