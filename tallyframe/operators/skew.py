@@ -18,6 +18,8 @@ SHARE = 0.01
 TRACKED = 4096
 #: Parts that a heavy key's rows are dealt to.
 SALTS = 32
+#: Parts that the rows without a key are dealt to.
+NULL_PARTS = 4096
 
 
 def _hash(keys: Sequence[str]) -> Column:
@@ -46,3 +48,15 @@ def split_join(facts: DataFrame, partner: DataFrame, keys: Sequence[str], how: s
     dealt = facts.withColumn("_salt", F.when(hot, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0))
     seats = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     return dealt.join(partner.withColumn("_salt", F.explode(seats)), [*keys, "_salt"], how).drop("_salt")
+
+
+def left_join(facts: DataFrame, partner: DataFrame, key: str, partner_key: str) -> DataFrame:
+    """``facts`` left-joined to ``partner`` on one key each; facts without a key meet no partner, and are dealt by their content.
+
+    In a plain left join all rows whose key is NULL go to one task.  Here the key is a struct with a seat: 0 for every partner row and every fact
+    with a key, 1 to ``NULL_PARTS`` by a hash of the row for facts without one.
+    """
+    seat = F.when(F.col(key).isNull(), 1 + F.pmod(F.xxhash64(*facts.columns), F.lit(NULL_PARTS))).otherwise(F.lit(0)).cast("int")
+    dealt = facts.withColumn("_fact_seat", F.struct(F.col(key).alias("k"), seat.alias("seat")))
+    seated = partner.withColumn("_partner_seat", F.struct(F.col(partner_key).alias("k"), F.lit(0).alias("seat")))
+    return dealt.join(seated, F.col("_fact_seat") == F.col("_partner_seat"), "left").drop("_fact_seat", "_partner_seat")

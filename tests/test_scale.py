@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyframe.functions import digest
-from tallyframe.operators import ordinals, scd2, sequence, skew, temporal
+from tallyframe.operators import ordinals, reconcile, scd2, sequence, skew, temporal
 from tallyframe.plans import scale
 from tallyframe.session import file_bytes, work_dir
 from tallyframe.sources import layout, proxy
@@ -209,3 +209,23 @@ def test_counts_are_taken_while_writing(spark):
     assert seen == {"n": 1000, "odd": 500, "top": 999} and spark.read.parquet(path).count() == 1000
 
 
+
+
+def test_fact_reference_check_deals_facts_without_a_version_over_tasks(spark):
+    facts = spark.range(0, 40000, 1, 40).select(
+        F.col("id").cast("string").alias("transaction_id"), F.when(F.col("id") % 2 == 0, F.col("id").cast("string")).alias("account_id"), F.lit("c").alias("customer_id"),
+        F.lit("USD").alias("currency"), F.lit("2024-01-02").cast("timestamp").alias("event_at"), F.when(F.col("id") == 6, "v").alias("customer_version_id"))
+    accounts = spark.range(0, 40000, 2).select(F.col("id").cast("string").alias("account_id"), F.lit("c").alias("customer_id"), F.lit("USD").alias("currency"))
+    accounts = accounts.unionByName(accounts.filter("account_id = '8'")).unionByName(accounts.filter("account_id = '8'").withColumn("account_id", F.lit(None).cast("string")))
+    history = spark.createDataFrame([("v", dt.datetime(2024, 1, 1), None), (None, dt.datetime(2024, 1, 1), None)], "customer_version_id string, valid_from timestamp, valid_to timestamp")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        bad = reconcile.fact_reference_violations(facts, accounts, history)
+        tasks = [r["count"] for r in bad.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(tasks) == 4 and max(tasks) < 20000
+        # all but the bound fact; the fact whose account is there twice comes twice, as in a plain left join
+        assert sum(tasks) == 40000 and bad.select("transaction_id").distinct().count() == 39999 and bad.filter("transaction_id = '8'").count() == 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
