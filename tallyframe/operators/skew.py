@@ -46,6 +46,8 @@ def split_join(facts: DataFrame, partner: DataFrame, keys: Sequence[str], how: s
         return facts.join(partner, list(keys), how)
     hot = _hash(keys).isin(heavy)
     dealt = facts.withColumn("_salt", F.when(hot, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0))
+    if int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")) < salts:  # else the salts meet again in few tasks
+        dealt = dealt.repartition(salts, *keys, "_salt")
     seats = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     return dealt.join(partner.withColumn("_salt", F.explode(seats)), [*keys, "_salt"], how).drop("_salt")
 
