@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tallyframe import types as TT
-from tallyframe.operators import validation
+from tallyframe.operators import temporal, validation
 from tallyframe.plans import prepare as P
 from tallyframe.session import delete, materialize, path_exists
 
@@ -74,9 +74,12 @@ class State:
             self._touched[id(keys), key] = (keys, numbers)  # the frame is kept, so its id is not given to another
         return self._touched[id(keys), key][1]
 
+    def holds(self, name: str) -> bool:
+        return path_exists(self.spark, self.path(name))
+
     def read(self, name: str, like: StructType, buckets: list[int] | None = None) -> DataFrame:
         """A table without its bucket column; only ``buckets`` are scanned."""
-        if not path_exists(self.spark, self.path(name)):
+        if not self.holds(name):
             return self.spark.createDataFrame([], like)
         df = self.spark.read.schema(StructType([*like.fields, StructField(BUCKET, IntegerType())])).parquet(self.path(name))
         return (df if buckets is None else df.filter(F.col(BUCKET).isin(buckets))).drop(BUCKET)
@@ -86,13 +89,20 @@ class State:
         return within(self.read(name, like, self.touched(keys, key)), keys, key)
 
     def add(self, name: str, df: DataFrame, key: str, identity: tuple[str, ...]) -> None:
-        """Append the rows whose ``identity`` is not there; looked up in the touched buckets only."""
+        """Append the rows whose ``identity`` is not there; looked up in the touched buckets only.  A new table takes them all."""
+        if not self.holds(name):
+            return self._write(self.with_bucket(df, key), name, "append")
         there = self.read(name, df.schema, self.touched(df, key))
         new = df.join(there.select(_same(identity).alias("_there")), _same(identity) == F.col("_there"), "left_anti")
         self._write(self.with_bucket(new, key), name, "append")
 
     def replace(self, name: str, df: DataFrame, key: str, keys: DataFrame) -> None:
-        """Make ``df`` all the rows of ``keys``; other keys' rows in the touched buckets are carried over."""
+        """Make ``df`` all the rows of ``keys``; other keys' rows in the touched buckets are carried over.
+
+        A new table has none to carry over and is written at once.
+        """
+        if not self.holds(name):
+            return self._write(self.with_bucket(df, key), name, "overwrite")
         touched = self.touched(keys, key)
         rest = within(self.read(name, df.schema, touched), keys, key, "left_anti")
         merged = materialize(self.with_bucket(rest.unionByName(df), key), name)
@@ -148,10 +158,10 @@ def apply(state: State, raw: DataFrame) -> dict[str, int]:
     def history_of(keys: DataFrame) -> DataFrame:
         """Versions of customers: the new ones of touched customers, those in the state of others."""
         there = within(state.rows_of("history", history.schema, keys, "customer_id"), customers, "customer_id", "left_anti")
-        return materialize(there.unionByName(within(history, keys, "customer_id")), "history-needed")
+        return there.unionByName(within(history, keys, "customer_id"))
 
     account_versions = state.rows_of("rows_accounts", kinds["accounts"], accounts, "account_id")
-    known = history_of(_distinct(account_versions.select("customer_id"), "customers-of-accounts")).select("customer_id").distinct()
+    known = _distinct(history_of(_distinct(account_versions.select("customer_id"), "customers-of-accounts")).select("customer_id"), "known")
     new_accounts, orphans = P.resolve_accounts(account_versions, known)
     new_accounts = materialize(new_accounts, "accounts")
 
@@ -159,7 +169,8 @@ def apply(state: State, raw: DataFrame) -> dict[str, int]:
     used = _distinct(versions.select("account_id"), "accounts-of-transactions")
     there = within(state.rows_of("accounts", new_accounts.schema, used, "account_id"), accounts, "account_id", "left_anti")
     needed = materialize(there.unionByName(within(new_accounts, used, "account_id")), "accounts-needed")
-    new_facts, failing = P.resolve_transactions(versions, needed, history_of(_distinct(needed.select("customer_id"), "customers-of-transactions")))
+    versions_needed = materialize(history_of(_distinct(needed.select("customer_id"), "customers-of-transactions")), "history-needed")
+    new_facts, failing = P.chosen_transactions(materialize(temporal.bind_to_accounts_and_history(versions, needed, versions_needed), "bound"))
 
     state.replace("history", history, "customer_id", customers)
     state.replace("accounts", new_accounts, "account_id", accounts)

@@ -83,7 +83,11 @@ def resolve_accounts(rows: DataFrame, known: DataFrame) -> tuple[DataFrame, Data
 def resolve_transactions(rows: DataFrame, accounts: DataFrame, history: DataFrame, form: str = "asof",
                          method: str = "buckets") -> tuple[DataFrame, DataFrame]:
     """(facts, failing rows with ``fk_reason``): rows are checked first, the winner is chosen among those that pass."""
-    bound = temporal.bind_to_accounts_and_history(rows, accounts, history, form=form, method=method)
+    return chosen_transactions(temporal.bind_to_accounts_and_history(rows, accounts, history, form=form, method=method))
+
+
+def chosen_transactions(bound: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(facts, failing rows) of rows with their ``fk_reason``; ``bound`` is read by both."""
     good = bound.filter(F.col("fk_reason") == "").withColumn("received_at", F.col("ingested_at"))
     cols = [*TT.TRANSACTION_COLUMNS, "memo"]
     latest = versions.latest_wins(good.select(*cols), ["transaction_id"], ["record_version", "source_updated_at", "record_hash"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -69,7 +70,10 @@ LOAD_MODULUS, LATE = 20, 0
 
 
 def _incremental(spark, sf):
-    raw = proxy.raw_records(spark, sf)
+    # read by every load; written by entity, so that each is read in parts of its own size
+    derived = proxy.raw_records(spark, sf)
+    parts = [materialize(derived.filter(F.col("entity") == e), f"raw-{e}") for e in TT.ENTITIES]
+    raw = functools.reduce(DataFrame.unionByName, parts)
     part = F.crc32(F.col("source_record_id").cast("binary")) % LOAD_MODULUS
     state = incremental.create(spark, work_dir(spark, "state"), buckets=16)
     for load in (part != LATE, part == LATE):

@@ -5,10 +5,11 @@ import random
 
 import pytest
 
-from tallyframe.plans import incremental as I
+from tallyframe.plans import incremental as I, scale
 from tallyframe.plans.prepare import prepare
 from tallyframe.session import work_dir
 from tests import model
+from tests.conftest import SMALL_SF
 
 AT = dt.datetime(2031, 5, 1)
 
@@ -104,3 +105,25 @@ def test_empty_load_and_empty_state(spark):
     assert I.apply(state, model.raw_frame(spark, [])) == {"customers": 0, "accounts": 0, "transactions": 0}
     I.apply(state, model.raw_frame(spark, [account(0, "p", "nobody")]))
     assert model.quarantine_of(I.result(state, "quarantine")) == [("accounts", "accounts:000000000000", "customer_fk")]
+
+
+def test_first_load_binds_once_and_writes_results_once(spark, monkeypatch):
+    records = [customer(0, "k1", "RETAIL", 6), account(0, "p1", "k1"), account(1, "p2", "k2"), fact(0, "t0", "p1", 8), fact(1, "t1", "p2", 8)]
+    made, write = [], I.materialize
+    monkeypatch.setattr(I, "materialize", lambda df, name: made.append(name) or write(df, name))
+    state = I.create(spark, work_dir(spark, "state"), buckets=4)
+    I.apply(state, model.raw_frame(spark, records))
+    assert made.count("bound") == 1 and not {"transactions", "failing", "orphans"} & set(made) and made.count("history") == made.count("accounts") == 1
+    check(state, records)
+    I.apply(state, model.raw_frame(spark, records))
+    assert {"transactions", "failing", "orphans"} <= set(made)
+    check(state, records)
+
+
+def test_loads_read_records_that_were_derived_once(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(I, "apply", lambda state, raw: taken.append(raw))
+    scale._incremental(spark, SMALL_SF)
+    assert len(taken) == 2
+    for raw in taken:
+        assert all("/raw-" in f for f in raw.inputFiles())
