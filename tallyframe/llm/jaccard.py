@@ -9,13 +9,17 @@ Two documents link when the Jaccard similarity of their sets of 5-word shingles
 3. Prefix filter: a set of n tokens must share one of the first n - ceil(0.75 n) + 1 tokens with any partner, under ANY order of
    all tokens.  Three orders are used: rarest first; frequency bands, then a hash; a second hash alone.  Tokens of one
    set only come first in each and never match, so most sets drop out here.
-4. Sets that share prefix tokens under the first order are joined to candidate groups (components over
-   token stars, no pairs are made).  Inside a group, candidates must share prefix tokens under all three orders
+4. Near copies first: every set is verified against the smallest set with one of its LEADS first tokens under the third order
+   (one pair a set, whatever the size of the family).  Sets that these links join are one cluster from here on.
+5. Clusters that share prefix tokens under the first order are joined to candidate groups (components over
+   token stars, no pairs are made); a token of one cluster only is settled, and so is a set all of whose prefix tokens are.
+   Inside a group, candidates are sets of different clusters that share prefix tokens under all three orders
    (the filters are intersected); these are verified on the whole sets.  A group is cut into tiles of TILE sets;
-   only pairs of tiles that share a prefix token are compared, each in its own task.  Tiles return a spanning forest of their links.
-5. Components of the links give the classes.
+   only pairs of tiles that share a prefix token are compared, each in its own task, a strip of sets at a time.  Tiles return a
+   spanning forest of their links.
+6. Components of the links give the classes.
 
-Inside one very large group of near copies the tiles still grow with the square of the group's distinct sets / TILE; they
+Inside one very large group whose sets step 4 does not join, the tiles still grow with the square of the group's distinct sets / TILE; they
 are spread over tasks and send back links in proportion to the sets.  Sets are told apart by 64-bit hashes, tokens by
 48 bits of theirs.
 
@@ -34,6 +38,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm import words as W
 from tallyframe.llm.components import components
+from tallyframe.llm.sieve import sieve
 from tallyframe.session import materialize
 
 SHINGLE = 5
@@ -42,11 +47,19 @@ NUM, DEN = 75, 100
 #: HOT_SHARE x mean set size such tokens, whatever the number of documents.
 HOT_SHARE, HOT_LEAST = 2000, 256
 BUCKET_TOKENS = 2_000_000
-TILE = 1024
+#: Tokens dealt to the buckets at once: the more, the fewer rows (one for each bucket and time).
+DEAL_TOKENS = 1_500_000
+LEADS = 2
+#: Sets of a tile, and of the strip of a tile that is compared at once.
+TILE, STRIP = 4096, 512
+#: A token that more than one in DENSE sets of a comparison hold is counted by products of 0/1 matrices, another by its pairs of sets.
+DENSE = 12
 #: Groups of at most SMALL sets are compared many at once, CALL_ROWS sets a call; larger ones one by one.
 SMALL, CALL_ROWS = 16, 2048
 #: Elements compared at once.
 SLICE = 1 << 20
+#: Ranks of hot tokens start here.
+LATE = 1 << 31
 _SALTS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344), np.uint64(0xA4093822299F31D0))
 
 
@@ -125,15 +138,18 @@ _PACKED = "bucket int, kind int, keys binary, counts binary, tokens binary, numb
 
 def _pack(bucket: np.ndarray, owner: np.ndarray, tokens: np.ndarray, numbers: np.ndarray | None, keys: np.ndarray):
     """Rows (bucket, 0, keys, tokens per key, tokens, numbers) of tokens sorted by (bucket, owner)."""
-    order = np.argsort(bucket, kind="stable")
+    order = np.argsort(bucket.astype(np.uint16) if len(bucket) and bucket.max() < 1 << 16 else bucket, kind="stable")
     bucket, owner, tokens = bucket[order], owner[order], tokens[order]
-    numbers = numbers[order] if numbers is not None else None
-    cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
-    for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(bucket)]):
-        o = owner[a:b]
-        heads = np.flatnonzero(np.concatenate([[True], o[1:] != o[:-1]]))
-        yield (int(bucket[a]), 0, keys[o[heads]].tobytes(), np.diff(np.concatenate([heads, [b - a]])).astype(np.uint32).tobytes(), _six(tokens[a:b]),
-               None if numbers is None else numbers[a:b].astype(np.uint32).tobytes())
+    numbers = numbers[order].astype(np.uint32) if numbers is not None else None
+    if not len(bucket):
+        return
+    first = np.concatenate([[True], bucket[1:] != bucket[:-1]])
+    heads = np.flatnonzero(first | np.concatenate([[True], owner[1:] != owner[:-1]]))
+    mine, counts = keys[owner[heads]], np.diff(np.append(heads, len(bucket))).astype(np.uint32)
+    six, cut = _six(tokens), np.flatnonzero(first)
+    at = np.append(np.searchsorted(heads, cut), len(heads)).tolist()
+    for i, (x, a, b) in enumerate(zip(bucket[cut].tolist(), cut.tolist(), [*cut[1:].tolist(), len(bucket)])):
+        yield (x, 0, mine[at[i]:at[i + 1]].tobytes(), counts[at[i]:at[i + 1]].tobytes(), six[6 * a:6 * b], None if numbers is None else numbers[a:b].tobytes())
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -151,16 +167,37 @@ def _unpack(rows: pd.DataFrame):
 
 
 def records(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int) -> DataFrame:
-    """(key, n, shared, p1 .. p3) of the sets that can have a partner.
+    """(key, n, shared, prefix, lead, p1 .. p3) of the sets that can have a partner.
 
-    shared: the set's tokens that other sets have as well; p1: prefix tokens under the first order, p2 and p3: places in
+    shared: the set's tokens that other sets have as well; lead: the first LEADS of them under the third order; p1: prefix tokens under the first order, p2 and p3: places in
     ``shared`` of those under the others.
     """
     shared_hot = docs.sparkSession.sparkContext.broadcast(hot)
 
-    def deal(batches):
+    def dealt_out(tokens: np.ndarray, n: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
         hot_tokens, _ = shared_hot.value
+        owner = np.repeat(np.arange(len(keys)), n)
+        is_hot = np.zeros(len(tokens), bool)
+        if len(hot_tokens):
+            place = np.searchsorted(hot_tokens, tokens)
+            place[place == len(hot_tokens)] = 0
+            is_hot = hot_tokens[place] == tokens
+        rows = list(_pack((W.mix(tokens[~is_hot]) % np.uint64(buckets)).astype(np.int32), owner[~is_hot], tokens[~is_hot], None, keys))
+        home = (keys % buckets).astype(np.int32)
+        n_hot = np.bincount(owner[is_hot], minlength=len(keys))
+        hot_six = _six(tokens[is_hot][np.argsort(home[owner[is_hot]], kind="stable")])
+        order = np.argsort(home, kind="stable")
+        home, keys, n, n_hot = home[order], keys[order], n[order].astype(np.uint32), n_hot[order]
+        hot_off = np.concatenate([[0], np.cumsum(n_hot)]).tolist()
+        n_hot = n_hot.astype(np.uint32)
+        cut = np.flatnonzero(np.concatenate([[True], home[1:] != home[:-1]])) if len(home) else np.zeros(0, np.int64)
+        for h, x, y in zip(home[cut].tolist(), cut.tolist(), [*cut[1:].tolist(), len(home)]):
+            rows.append((h, 1, keys[x:y].tobytes(), n_hot[x:y].tobytes(), hot_six[6 * hot_off[x]:6 * hot_off[y]], n[x:y].tobytes()))
+        return _batch(rows)
+
+    def deal(batches):
         seen: set[int] = set()
+        waits: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for b in batches:
             raw, off = W.buffers(b.column("text"))
             for i, j in W.chunks(off):
@@ -171,44 +208,31 @@ def records(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int) -
                     if n[x] and key not in seen:
                         seen.add(key)
                         new[x] = True
-                owner = np.repeat(np.arange(j - i), n)
-                tokens, owner = tokens[new[owner]], owner[new[owner]]
-                is_hot = np.zeros(len(tokens), bool)
-                if len(hot_tokens):
-                    place = np.searchsorted(hot_tokens, tokens)
-                    place[place == len(hot_tokens)] = 0
-                    is_hot = hot_tokens[place] == tokens
-                rows = list(_pack((W.mix(tokens[~is_hot]) % np.uint64(buckets)).astype(np.int32), owner[~is_hot], tokens[~is_hot], None, keys))
-                mine = np.flatnonzero(new)
-                home = (keys[mine] % buckets).astype(np.int32)
-                n_hot = np.bincount(owner[is_hot], minlength=j - i)
-                hot_off = np.concatenate([[0], np.cumsum(n_hot)])
-                hot_here = tokens[is_hot]
-                for h in np.unique(home).tolist():
-                    d = mine[home == h]
-                    rows.append((h, 1, keys[d].tobytes(), n_hot[d].astype(np.uint32).tobytes(),
-                                 _six(np.concatenate([hot_here[hot_off[x]:hot_off[x + 1]] for x in d])), n[d].astype(np.uint32).tobytes()))
-                yield _batch(rows)
+                waits.append((tokens[np.repeat(new, n)], n[new], keys[new]))
+                if sum(len(x) for x, *_ in waits) >= DEAL_TOKENS:
+                    yield dealt_out(*(np.concatenate(x) for x in zip(*waits)))
+                    waits = []
+        if waits:
+            yield dealt_out(*(np.concatenate(x) for x in zip(*waits)))
 
     def count(rows: pd.DataFrame) -> pd.DataFrame:
-        out = [(int(r.bucket), 1, r["keys"], r.counts, r.tokens, r.numbers) for _, r in rows[rows["kind"] == 1].iterrows()]
         keys, counts, tokens = _unpack(rows[rows["kind"] == 0])
         _, first = np.unique(keys, return_index=True)
         fresh = np.zeros(len(keys), bool)
         fresh[first] = True
         owner = np.repeat(np.arange(len(keys)), counts)
         tokens, owner = tokens[fresh[owner]], owner[fresh[owner]]
-        order = np.argsort(tokens, kind="stable")
+        order = np.argsort(tokens)
         tokens, owner = tokens[order], owner[order]
         starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else np.zeros(0, np.int64)
         times = np.diff(np.concatenate([starts, [len(tokens)]]))
         df = np.repeat(times, times)
         often = df >= 2
         owner, tokens, df = owner[often], tokens[often], df[often]
-        order = np.argsort(owner, kind="stable")
+        order = np.argsort(owner)
         owner, tokens, df = owner[order], tokens[order], df[order]
-        out += _pack((keys[owner] % buckets).astype(np.int32), owner, tokens, df, keys)
-        return pd.DataFrame(out, columns=["bucket", "kind", "keys", "counts", "tokens", "numbers"])
+        out = pd.DataFrame(_pack((keys[owner] % buckets).astype(np.int32), owner, tokens, df, keys), columns=["bucket", "kind", "keys", "counts", "tokens", "numbers"])
+        return pd.concat([rows.loc[rows["kind"] == 1, out.columns], out], ignore_index=True)
 
     def assemble(rows: pd.DataFrame) -> pd.DataFrame:
         hot_tokens, hot_counts = shared_hot.value
@@ -218,47 +242,89 @@ def records(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int) -
         hot_off = np.concatenate([[0], np.cumsum(n_hot)])
         cold_keys, cold_n, cold = _unpack(bodies)
         df = np.concatenate([np.frombuffer(x, np.uint32) for x in bodies["numbers"]] or [np.zeros(0, np.uint32)]).astype(np.int64)
-        owner = np.repeat(cold_keys, cold_n)
-        order = np.argsort(owner, kind="stable")
-        owner, cold, df = owner[order], cold[order], df[order]
         keys, first = np.unique(keys, return_index=True)
-        lo, hi = np.searchsorted(owner, keys, "left"), np.searchsorted(owner, keys, "right")
+        sizes, n_hot = sizes[first], n_hot[first]
+        of_hot = np.arange(int(n_hot.sum())) + np.repeat(hot_off[first] - (np.cumsum(n_hot) - n_hot), n_hot)
+        hot_here = hot_here[of_hot]
+        owner = np.concatenate([np.repeat(np.searchsorted(keys, cold_keys), cold_n), np.repeat(np.arange(len(keys)), n_hot)])
+        tokens = np.concatenate([cold, hot_here])
+        # hot tokens come after all others
+        rank = np.concatenate([np.minimum(df, LATE - 1), LATE + np.minimum(hot_counts[np.searchsorted(hot_tokens, hot_here)], LATE - 1)]).astype(np.uint64)
+        shared = np.bincount(owner, minlength=len(keys))
+        take = sizes - (NUM * sizes + DEN - 1) // DEN + 1 - (sizes - shared)
+        mine = ((take > 0) & (shared > 0))[owner]
+        owner, tokens, rank = owner[mine], tokens[mine], rank[mine]
+        # tokens have 48 bits; one key sorts several times as fast as two
+        order = np.argsort(owner.astype(np.uint64) << np.uint64(48) | tokens) if len(keys) < 1 << 16 else np.lexsort((tokens, owner))
+        owner, tokens, rank = owner[order], tokens[order], rank[order]
+        half = np.uint64(32)
+        # a rank in the upper half and a hash in the lower; equal ones stand in the order of the tokens
+        orders = [rank << half | W.mix(tokens ^ _SALTS[0]) >> half, np.log2(rank.astype(np.float64)).astype(np.uint64) << half | W.mix(tokens ^ _SALTS[1]) >> half,
+                  (rank >= LATE).astype(np.uint64) << half | W.mix(tokens ^ _SALTS[2]) >> half]
         out = []
-        for key, x, a, b in zip(keys.tolist(), first.tolist(), lo.tolist(), hi.tolist()):
-            n, mine = int(sizes[x]), hot_here[hot_off[x]:hot_off[x + 1]]
-            prefix = n - (NUM * n + DEN - 1) // DEN + 1
-            take = prefix - (n - len(mine) - (b - a))
-            if take <= 0 or not len(mine) + b - a:
-                continue
-            tokens = np.concatenate([cold[a:b], mine])
-            rank = np.concatenate([df[a:b], hot_counts[np.searchsorted(hot_tokens, mine)] + (1 << 40)])
-            by_token = np.argsort(tokens)
-            tokens, rank = tokens[by_token], rank[by_token]
-            band = np.log2(rank).astype(np.int64)
-            late = rank >= (1 << 40)
-            p1 = np.lexsort((W.mix(tokens ^ _SALTS[0]), rank))[:take]
-            p2 = np.lexsort((W.mix(tokens ^ _SALTS[1]), band))[:take]
-            p3 = np.lexsort((W.mix(tokens ^ _SALTS[2]), late))[:take]
-            out.append((key, n, _six(tokens), tokens[p1].astype(np.int64), p1.astype(np.uint32).tobytes(), p2.astype(np.uint32).tobytes(), p3.astype(np.uint32).tobytes()))
-        return pd.DataFrame(out, columns=["key", "n", "shared", "prefix", "p1", "p2", "p3"])
+        cut = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, np.int64)
+        six = _six(tokens)
+        for x, a, b in zip(owner[cut].tolist(), cut.tolist(), [*cut[1:].tolist(), len(owner)]):
+            p1, p2, p3 = (np.argsort(o[a:b], kind="stable")[:take[x]].astype(np.uint32) for o in orders)
+            own = tokens[a:b]
+            out.append((int(keys[x]), int(sizes[x]), six[6 * a:6 * b], own[p1].astype(np.int64), own[p3[:LEADS]].astype(np.int64), p1.tobytes(), p2.tobytes(), p3.tobytes()))
+        return pd.DataFrame(out, columns=["key", "n", "shared", "prefix", "lead", "p1", "p2", "p3"])
 
     dealt = docs.select("text").mapInArrow(deal, _PACKED)
     counted = dealt.groupBy("bucket").applyInPandas(count, _PACKED)
-    return counted.groupBy("bucket").applyInPandas(assemble, "key bigint, n bigint, shared binary, prefix array<bigint>, p1 binary, p2 binary, p3 binary")
-
-
-def _shares(places: list[np.ndarray], columns: list[np.ndarray], width: int) -> np.ndarray:
-    """Counts of common tokens of all pairs of sets, by products of 0/1 matrices in blocks of columns."""
-    m = len(places)
-    out = np.zeros((m, m), np.float32)
-    for lo in range(0, width, 4096):
-        x = np.zeros((m, min(4096, width - lo)), np.float32)
-        for i, (p, c) in enumerate(zip(places, columns)):
-            mine = c if p is None else c[p]
-            mine = mine[(mine >= lo) & (mine < lo + x.shape[1])]
-            x[i, mine - lo] = 1
-        out += x @ x.T
-    return out
+    return counted.groupBy("bucket").applyInPandas(assemble, "key bigint, n bigint, shared binary, prefix array<bigint>, lead array<bigint>, p1 binary, p2 binary, p3 binary")
+
+
+class Shares:
+    """Numbers of common elements of rows with rows: elements that many rows have by products of 0/1 matrices in blocks of columns, others by their pairs of rows."""
+
+    def __init__(self, rows: list[np.ndarray]):
+        """rows: column numbers of each row, each once."""
+        m = len(rows)
+        flat, off = ragged(rows)
+        owner = np.repeat(np.arange(m), np.diff(off))
+        times = np.bincount(flat) if len(flat) else np.zeros(1, np.int64)
+        dense = times * DENSE > m
+        dense &= times >= 2
+        few = (times >= 2) & ~dense
+        is_dense, is_few = dense[flat], few[flat]
+        self.width = int(dense.sum())
+        self.owner, self.column = owner[is_dense], (np.cumsum(dense) - 1)[flat[is_dense]]
+        self.dense_off = np.concatenate([[0], np.cumsum(np.bincount(self.owner, minlength=m))])
+        self.few_off = np.concatenate([[0], np.cumsum(np.bincount(owner[is_few], minlength=m))])
+        self.few_column = (np.cumsum(few) - 1)[flat[is_few]]
+        # rows of each of the other columns, ascending
+        order = np.argsort(self.few_column, kind="stable")
+        self.holders = owner[is_few][order]
+        self.held_off = np.concatenate([[0], np.cumsum(np.bincount(self.few_column))]).astype(np.int64)
+
+    def _ones(self, lo: int, hi: int, column: int) -> np.ndarray:
+        a, b = self.dense_off[lo], self.dense_off[hi]
+        x = np.zeros((hi - lo, min(2048, self.width - column)), np.float32)
+        at = self.column[a:b] - column
+        mine = (at >= 0) & (at < x.shape[1])
+        x[self.owner[a:b][mine] - lo, at[mine]] = 1
+        return x
+
+    def count(self, lo: int, hi: int, first: int, last: int) -> np.ndarray:
+        """Of rows lo .. hi with rows first .. last."""
+        out = np.zeros((hi - lo, last - first), np.float32)
+        for column in range(0, self.width, 2048):
+            out += self._ones(lo, hi, column) @ self._ones(first, last, column).T
+        a, b = self.few_off[lo], self.few_off[hi]
+        mine, held = self.few_column[a:b], self.held_off
+        row = np.repeat(np.arange(hi - lo), np.diff(self.few_off[lo:hi + 1]))
+        size = held[mine + 1] - held[mine]
+        upto = np.cumsum(size)
+        x = 0
+        while x < len(mine):
+            y = max(x + 1, int(np.searchsorted(upto, (upto[x - 1] if x else 0) + SLICE, "right")))
+            n = size[x:y]
+            other = self.holders[np.arange(int(n.sum())) + np.repeat(held[mine[x:y]] - (np.cumsum(n) - n), n)]
+            here = (other >= first) & (other < last)
+            np.add.at(out.reshape(-1), (np.repeat(row[x:y], n) * (last - first) + other - first)[here], np.float32(1))
+            x = y
+        return out
 
 
 def forest(left: np.ndarray, right: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
@@ -276,21 +342,40 @@ def forest(left: np.ndarray, right: np.ndarray, m: int) -> tuple[np.ndarray, np.
     return moved, label[moved]
 
 
-def similar(sets: list[np.ndarray], n: np.ndarray, candidates) -> tuple[np.ndarray, np.ndarray]:
-    """Verified links (forest) among sets: ``candidates(columns, width)`` gives the 0/1 matrix of pairs to verify."""
+def similar(sets: list[np.ndarray], n: np.ndarray, filters, cluster: np.ndarray | None = None, split: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Verified links (forest) among sets, or if ``split`` is given between the sets before and after it; none within a cluster.
+
+    ``filters(number)`` (number: places of the sets' tokens -> numbers) gives a function that tells which pairs of rows lo .. hi with rows first .. last to verify.
+    """
     m = len(sets)
-    _, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    number = np.where(times >= 2, np.cumsum(times >= 2) - 1, -1)[place]
-    width = int((times >= 2).sum())
-    off = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-    columns = [number[off[i]:off[i + 1]] for i in range(m)]
-    left, right = np.nonzero(np.triu(candidates(columns, width), 1))
-    if len(left) <= 4 * m:
-        common = np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for i, j in zip(left, right)], np.int64)
-    else:
-        common = _shares([None] * m, columns, width)[left, right].astype(np.int64)
-    ok = DEN * common >= NUM * (n[left] + n[right] - common)
-    return forest(left[ok], right[ok], m)
+    flat, off = ragged(sets)
+    _, number = np.unique(flat, return_inverse=True)
+    numbered = [number[off[i]:off[i + 1]] for i in range(m)]
+    wanted = filters(numbered)
+    whole = None
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for lo in range(0, split or m, STRIP):
+        hi = min(lo + STRIP, split or m)
+        first = split or lo
+        pick = wanted(lo, hi, first, m)
+        if not split:
+            pick &= np.arange(lo, hi)[:, None] < np.arange(lo, m)
+        if cluster is not None:
+            pick &= cluster[lo:hi, None] != cluster[first:]
+        a, b = np.nonzero(pick)
+        if not len(a):
+            continue
+        if len(a) <= 4 * m:
+            common = commons(number, off, a + lo, b + first)
+        else:
+            whole = whole or Shares(numbered)
+            common = whole.count(lo, hi, first, m)[a, b].astype(np.int64)
+        a, b = a + lo, b + first
+        ok = DEN * common >= NUM * (n[a] + n[b] - common)
+        a, b = forest(a[ok], b[ok], m)
+        left.append(a)
+        right.append(b)
+    return forest(np.concatenate(left), np.concatenate(right), m)
 
 
 def ragged(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -331,18 +416,25 @@ def pairs_within(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def tile_links(members: DataFrame, items: str, wanted: list[str], verify, verify_pairs) -> DataFrame:
     """Links within every group (column group_id) of keys: of small groups many at once, of others whole or as pairs of tiles that share an element of ``items``.
 
-    ``verify`` takes the sorted rows of a group (columns key and ``wanted``) and returns forest links by position;
+    ``verify`` takes the sorted rows of a group (columns key and ``wanted``) and returns forest links by position; of two
+    tiles it also gets the number of rows of the first, and links one's rows with the other's.
     ``verify_pairs`` takes sorted rows of many groups and pairs of positions and says which are links.
     """
     sizes = members.groupBy("group_id").agg(F.count("*").alias("members")).filter("members > 1")
     members = materialize(members.join(sizes, "group_id").withColumn("tiles", F.ceil(F.col("members") / TILE).cast("int"))
                           .withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int")), "groups")
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("key").sort_values("key", ignore_index=True)
-        if len(group) < 2:
+    def run(group: pd.DataFrame, first=None) -> pd.DataFrame:
+        group = group.drop_duplicates("key")
+        split = 0
+        if first is not None:
+            group = group.assign(late=group["tile"] != first).sort_values(["late", "key"], ignore_index=True)
+            split = int((~group["late"]).sum())
+        else:
+            group = group.sort_values("key", ignore_index=True)
+        if len(group) < 2 or split == len(group):
             return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
-        left, right = verify(group)
+        left, right = verify(group, split)
         keys = group["key"].to_numpy()
         return pd.DataFrame({"a": keys[left], "b": keys[right]})
 
@@ -357,6 +449,9 @@ def tile_links(members: DataFrame, items: str, wanted: list[str], verify, verify
         out = [pd.DataFrame({"a": keys[left], "b": keys[right]})]
         return pd.concat([*out, *(run(g) for _, g in rows[(size > SMALL).to_numpy()].groupby("group_id"))], ignore_index=True)
 
+    def run_tiles(tiles: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        return run(group, tiles[1] if tiles[1] != tiles[2] else None)
+
     whole = members.filter("tiles = 1").select("group_id", "key", *wanted)
     calls = max(1, -(-whole.count() // CALL_ROWS))
     small = (whole.withColumn("call", F.pmod(F.xxhash64("group_id"), F.lit(calls)).cast("int")).repartition(calls, "call")
@@ -368,19 +463,24 @@ def tile_links(members: DataFrame, items: str, wanted: list[str], verify, verify
              .select("group_id", F.col("tile").alias("t1"), F.col("tile2").alias("t2")).distinct())
     seats = meets.select(F.col("group_id").alias("g"), "t1", "t2", F.explode(F.array_distinct(F.array("t1", "t2"))).alias("seat"))
     tiled = (large.select("group_id", "tile", "key", *wanted).join(seats, (F.col("group_id") == F.col("g")) & (F.col("tile") == F.col("seat")))
-             .groupBy("group_id", "t1", "t2").applyInPandas(run, "a bigint, b bigint"))
+             .groupBy("group_id", "t1", "t2").applyInPandas(run_tiles, "a bigint, b bigint"))
     return small.unionByName(tiled)
 
 
-def verified_links(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def verified_links(group: pd.DataFrame, split: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Candidates share prefix tokens under all three orders; links are verified on the whole sets."""
-    def candidates(columns, width):
-        found = np.ones((len(group), len(group)), bool)
-        for name in ("p1", "p2", "p3"):
-            found &= _shares([np.frombuffer(x, np.uint32) for x in group[name]], columns, width) > 0
-        return found
+    def filters(numbered):
+        orders = [Shares([x[np.frombuffer(p, np.uint32)] for x, p in zip(numbered, group[name])]) for name in ("p1", "p2", "p3")]
+
+        def wanted(lo, hi, first, last):
+            found = orders[0].count(lo, hi, first, last) > 0
+            for order in orders[1:]:
+                found &= order.count(lo, hi, first, last) > 0
+            return found
+
+        return wanted
 
-    return similar([_eight(x) for x in group["shared"]], group["n"].to_numpy(np.int64), candidates)
+    return similar([_eight(x) for x in group["shared"]], group["n"].to_numpy(np.int64), filters, group["cluster"].to_numpy(), split)
 
 
 def verified_pairs(rows: pd.DataFrame, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -389,7 +489,8 @@ def verified_pairs(rows: pd.DataFrame, left: np.ndarray, right: np.ndarray) -> n
     if not len(left):
         return ok
     sets = [_eight(x) for x in rows["shared"]]
-    mine = np.arange(len(left))
+    cluster = rows["cluster"].to_numpy()
+    mine = np.flatnonzero(cluster[left] != cluster[right])
     for name in ("p1", "p2", "p3"):
         flat, off = ragged([s[np.frombuffer(x, np.uint32)] for s, x in zip(sets, rows[name])])
         mine = mine[commons(flat, off, left[mine], right[mine]) > 0]
@@ -399,13 +500,63 @@ def verified_pairs(rows: pd.DataFrame, left: np.ndarray, right: np.ndarray) -> n
     return ok
 
 
+def _tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of all sets of a binary column, one after the other, and their offsets."""
+    column = column.cast(pa.large_binary())
+    _, off, data = column.buffers()
+    off = np.frombuffer(off, np.int64)[column.offset:column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    return _eight(data[int(off[0]):int(off[-1])] if off[-1] > off[0] else b""), (off - off[0]) // 6
+
+
+def row_commons(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Numbers of common tokens of the sets of two columns, row by row, sorted together in slices of bounded size."""
+    rows = len(one[1]) - 1
+    out = np.zeros(rows, np.int64)
+    upto = one[1] + other[1]
+    lo = 0
+    while lo < rows:
+        hi = min(max(lo + 1, int(np.searchsorted(upto, upto[lo] + SLICE, "right")) - 1), lo + (1 << 16), rows)
+        key = np.concatenate([tokens[off[lo]:off[hi]] | np.repeat(np.arange(hi - lo, dtype=np.uint64) << np.uint64(48), np.diff(off[lo:hi + 1])) for tokens, off in (one, other)])
+        key.sort()
+        out[lo:hi] = np.bincount((key[1:][key[1:] == key[:-1]] >> np.uint64(48)).astype(np.int64), minlength=hi - lo)
+        lo = hi
+    return out
+
+
+def near_links(found: DataFrame) -> DataFrame:
+    """Links (a, b) between sets and the smallest set with one of their leading tokens, verified on the whole sets."""
+    leads = found.select("key", F.explode("lead").alias("token"))
+    least = leads.groupBy("token").agg(F.min("key").alias("least"), F.count("*").alias("n")).filter("n > 1").select(F.col("token").alias("t"), "least")
+    pairs = leads.join(least, F.col("token") == F.col("t")).filter("key <> least").select(F.col("key").alias("a"), F.col("least").alias("b")).distinct()
+    one = found.select(F.col("key").alias("x"), F.col("n").alias("n1"), F.col("shared").alias("s1"))
+    other = found.select(F.col("key").alias("y"), F.col("n").alias("n2"), F.col("shared").alias("s2"))
+
+    def verify(batches):
+        for b in batches:
+            common = row_commons(_tokens_of(b.column("s1")), _tokens_of(b.column("s2")))
+            n = b.column("n1").to_numpy() + b.column("n2").to_numpy()
+            ok = pa.array(np.flatnonzero(DEN * common >= NUM * (n - common)))
+            yield pa.RecordBatch.from_arrays([b.column("a").take(ok), b.column("b").take(ok)], ["a", "b"])
+
+    # the least set of a family stands in very many pairs: the last join is a plain one, which skew handling splits
+    return (pairs.join(one, F.col("a") == F.col("x")).drop("x").join(other, F.col("b") == F.col("y")).select("a", "b", "n1", "s1", "n2", "s2")
+            .mapInArrow(verify, "a bigint, b bigint"))
+
+
 def links(found: DataFrame) -> DataFrame:
-    """Links (a, b) between keys of ``records`` output: a spanning forest of every tile."""
-    index = found.select("key", F.explode("prefix").alias("token"))
-    least = index.groupBy("token").agg(F.min("key").alias("least"), F.count("*").alias("n")).filter("n > 1")
-    root = components(index.join(least, "token").select("key", "least"), "key", "least")
-    grouped = found.join(root, F.col("key") == F.col("node"), "left").withColumn("group_id", F.coalesce("root", "key")).drop("node", "root")
-    return tile_links(grouped, "prefix", ["n", "shared", "p1", "p2", "p3"], verified_links, verified_pairs)
+    """Links (a, b) between keys of ``records`` output: those of near copies, and a spanning forest of every tile."""
+    near = materialize(near_links(found), "near")
+    root = components(near, "a", "b")
+    index = materialize(found.select("key", "prefix").join(root, F.col("key") == F.col("node"), "left").select("key", F.coalesce("root", "key").alias("cluster"), "prefix"), "index")
+    tokens = index.select("key", "cluster", F.explode("prefix").alias("token"))
+    several = materialize(tokens.groupBy("token").agg(F.min("cluster").alias("least"), F.max("cluster").alias("most")).filter("least <> most").select(F.col("token").alias("t"), "least"), "several")
+    held = materialize(sieve(tokens, "token", several, "t").join(several, F.col("token") == F.col("t")).select("key", "cluster", "least").distinct(), "held")
+    group = components(held.select("cluster", "least").distinct(), "cluster", "least")
+    of = (held.select(F.col("key").alias("k"), "cluster").distinct().join(group, F.col("cluster") == F.col("node"), "left")
+          .select("k", "cluster", F.coalesce("root", "cluster").alias("group_id")))
+    of = materialize(of, "open")
+    members = sieve(found, "key", of, "k").join(of, F.col("key") == F.col("k"))
+    return tile_links(members, "prefix", ["n", "shared", "cluster", "p1", "p2", "p3"], verified_links, verified_pairs).unionByName(near)
 
 
 def _classes(docs: DataFrame, carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:

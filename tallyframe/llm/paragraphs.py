@@ -160,16 +160,16 @@ def line_clusters(lines: DataFrame) -> DataFrame:
     members = (sieve(lines, "key", groups, "k").join(groups, F.col("key") == F.col("k")).groupBy("key", "group_id")
                .agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("shared").alias("shared")))
 
-    def verify(group: pd.DataFrame):
+    def verify(group: pd.DataFrame, split: int = 0):
         marks = np.stack(group["bands"].to_numpy())
 
-        def collide(columns, width):
-            found = np.zeros((len(group), len(group)), bool)
+        def collide(lo, hi, first, last):
+            found = np.zeros((hi - lo, last - first), bool)
             for k in range(BANDS):
-                found |= marks[:, k][:, None] == marks[:, k]
+                found |= marks[lo:hi, k][:, None] == marks[first:last, k]
             return found
 
-        return similar([np.unique(np.frombuffer(x, np.uint32)) for x in group["shared"]], group["n"].to_numpy(np.int64), collide)
+        return similar([np.unique(np.frombuffer(x, np.uint32)) for x in group["shared"]], group["n"].to_numpy(np.int64), lambda _: collide, None, split)
 
     def verify_pairs(rows: pd.DataFrame, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         ok = np.zeros(len(left), bool)
