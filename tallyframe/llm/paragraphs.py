@@ -27,6 +27,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -294,36 +295,46 @@ def with_row_hash(docs: DataFrame) -> DataFrame:
     return docs.withColumn("d", F.xxhash64("doc_id", "text"))
 
 
-def merged(text: pa.Array, spans: list[list[dict]]):
-    """Per text: removed byte ranges [(start, end, words, cluster, kept)], after the whole-line rule."""
-    raw, off = W.buffers(text)
-    for t, mine in enumerate(spans):
-        if not mine:
-            yield []
+def merged(text: pa.Array, spans: pa.Array):
+    """Per text: removed byte ranges [(start, end, words, cluster, kept)], after the whole-line rule; texts with spans are worked on many at once."""
+    some = np.flatnonzero(pc.fill_null(pc.list_value_length(spans), 0).to_numpy(zero_copy_only=False) > 0)
+    spans = spans.take(pa.array(some))
+    raw, off = W.buffers(text.take(pa.array(some)))
+    of = np.concatenate([[0], np.cumsum(pc.list_value_length(spans).to_numpy(zero_copy_only=False))]).astype(np.int64)
+    flat = spans.flatten()
+    begin, stop, held, cluster, kept_id = (flat.field(k) for k in ("start", "stop", "held", "cluster", "kept"))
+    begin, stop, held = begin.to_numpy().astype(np.int64), stop.to_numpy().astype(np.int64), held.to_numpy(zero_copy_only=False)
+    out: list[list] = [[] for _ in range(len(text))]
+    for i, j in W.chunks(off, CHUNK):
+        here = off[i:j + 1]
+        start, end, per_text = W.places(raw, here, W.BLANK_SEPARATED)
+        if not len(start):
             continue
-        here = off[t:t + 2]
-        h, start, end, per_text = W.words(raw, here, W.BLANK_SEPARATED)
-        gone, kept = np.zeros(len(h) + 1, np.int32), np.zeros(len(h) + 1, np.int32)
-        for s in mine:
-            marks = kept if s["held"] else gone
-            marks[s["start"]] += 1
-            marks[s["stop"]] -= 1
-        gone, kept = np.cumsum(gone)[:-1] > 0, np.cumsum(kept)[:-1] > 0
-        mine = [s for s in mine if not s["held"]]
+        lo, hi = of[i], of[j]
+        base = np.repeat(per_text[:-1], np.diff(of[i:j + 1]))
+        marks = np.zeros((2, len(start) + 1), np.int32)
+        np.add.at(marks, (held[lo:hi].astype(np.int64), base + begin[lo:hi]), 1)
+        np.add.at(marks, (held[lo:hi].astype(np.int64), base + stop[lo:hi]), -1)
+        gone, kept = np.cumsum(marks, axis=1)[:, :-1] > 0
         lines = line_bounds(raw, here, start, per_text)
         size = np.diff(lines)
         share = np.add.reduceat(gone.astype(np.int64), lines[:-1]) / size
         # words that are the only copy of what others have lost stay
         needed = np.add.reduceat((kept & ~gone).astype(np.int64), lines[:-1]) > 0
         gone |= np.repeat((share >= WHOLE_LINE) & ~needed, size)
-        new = np.flatnonzero(gone & ~np.concatenate([[False], gone[:-1]]))
-        last = np.flatnonzero(gone & ~np.concatenate([gone[1:], [False]]))
-        starts = np.array([s["start"] for s in mine])
-        out = []
-        for a, b in zip(new.tolist(), last.tolist()):
-            of = mine[min(int(np.searchsorted(starts, a)), len(mine) - 1)]
-            out.append((int(start[a]), int(end[b]), b + 1 - a, of["cluster"], of["kept"]))
-        yield out
+        before, after = np.concatenate([[False], gone[:-1]]), np.concatenate([gone[1:], [False]])
+        head = per_text[:-1][np.diff(per_text) > 0]
+        before[head] = False
+        after[head[1:] - 1] = False
+        new, last = np.flatnonzero(gone & ~before), np.flatnonzero(gone & ~after)
+        owner = np.searchsorted(per_text, new, "right") - 1
+        for t, a, b in zip(owner.tolist(), new.tolist(), last.tolist()):
+            x, y = int(of[i + t]), int(of[i + t + 1])
+            mine = x + np.flatnonzero(~held[x:y])
+            at = int(mine[min(int(np.searchsorted(begin[mine], a - int(per_text[t]))), len(mine) - 1)])
+            zero = int(here[t] - here[0])
+            out[int(some[i + t])].append((int(start[a]) - zero, int(end[b]) - zero, b + 1 - a, cluster[at].as_py(), kept_id[at].as_py()))
+    yield from out
 
 
 def removals(docs: DataFrame) -> DataFrame:
@@ -334,7 +345,7 @@ def removals(docs: DataFrame) -> DataFrame:
 
     def list_spans(batches):
         for b in batches:
-            rows = [(i, *x) for i, found in enumerate(merged(b.column("text"), b.column("spans").to_pylist())) for x in found]
+            rows = [(i, *x) for i, found in enumerate(merged(b.column("text"), b.column("spans"))) for x in found]
             at, s, e, n, c, k = zip(*rows) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(at, pa.int64())), pa.array(s, pa.int64()), pa.array(e, pa.int64()), pa.array(n, pa.int64()), pa.array(c, pa.int64()), pa.array(k, b.column("doc_id").type)],
                                              ["doc_id", "start_byte", "end_byte", "n_words", "cluster_id", "kept_doc_id"])
@@ -353,9 +364,8 @@ def remove(docs: DataFrame) -> DataFrame:
         for b in batches:
             k = b.schema.get_field_index("text")
             texts = b.column(k)
-            spans = b.column("_pd_spans").to_pylist()
             keep, out = [], []
-            for i, found in enumerate(merged(texts, spans)):
+            for i, found in enumerate(merged(texts, b.column("_pd_spans"))):
                 text = texts[i].as_py()
                 if found:
                     raw, at, parts = text.encode(), 0, []

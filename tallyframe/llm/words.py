@@ -116,20 +116,13 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix(h)
 
 
-def words(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray, lower: bool = True):
-    """Words of consecutive texts.
-
-    Returns (hash per word, start and end byte per word relative to the first text, word offsets per text).
-    Letters A-Z are lower-cased before hashing, unless ``lower`` is false.
-    """
-    base = offsets[0]
-    data = raw[base:offsets[-1]]
-    if lower:
-        data = _LOWER[data]
-    at = (offsets - base).astype(np.int64)
+def places(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray):
+    """Places of the words of consecutive texts: start and end byte per word relative to the first text, word offsets per text."""
+    data = raw[offsets[0]:offsets[-1]]
+    at = (offsets - offsets[0]).astype(np.int64)
     if not len(data):
         empty = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), empty, empty, np.zeros(len(at), np.int64)
+        return empty, empty, np.zeros(len(at), np.int64)
     inside = table[data]
     edges = np.empty(len(data), bool)
     edges[0] = inside[0]
@@ -141,8 +134,19 @@ def words(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray, lower: bool =
     np.greater(inside[:-1], inside[1:], out=edges[:-1])
     last = at[1:][at[1:] > 0] - 1
     edges[last] = inside[last]
-    end = np.flatnonzero(edges) + 1
-    per_text = np.searchsorted(start, at)
+    return start, np.flatnonzero(edges) + 1, np.searchsorted(start, at)
+
+
+def words(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray, lower: bool = True):
+    """Words of consecutive texts.
+
+    Returns (hash per word, start and end byte per word relative to the first text, word offsets per text).
+    Letters A-Z are lower-cased before hashing, unless ``lower`` is false.
+    """
+    data = raw[offsets[0]:offsets[-1]]
+    if lower:
+        data = _LOWER[data]
+    start, end, per_text = places(data, offsets - offsets[0], table)
     if not len(start):
         return np.zeros(0, np.uint64), start, end, per_text
     return span_hashes(data, start, end), start, end, per_text

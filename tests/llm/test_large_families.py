@@ -1,9 +1,11 @@
 """Large families of near copies: settled by one pair a set, tiles compared once and in strips, results as by brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyframe.llm import jaccard as J
+from tallyframe.llm import paragraphs as P
 from test_jaccard import brute, got, near_copies
 
 
@@ -46,3 +48,25 @@ def test_two_tiles_are_compared_with_each_other_only():
     assert len(J.similar(sets, n, every)[0]) == 5
     links = J.similar(sets, n, every, np.array([1, 1, 2, 2, 1, 1]), 4)
     assert sorted(zip(*(x.tolist() for x in links))) == [(4, 2), (5, 2), (3, 2)] or len(links[0]) == 3 and 0 not in np.concatenate(links)
+
+
+def test_lines_in_tiles_as_whole(spark, monkeypatch):
+    texts = [f"start {k} x\n{t}\nend {k} y" for k, t in enumerate(near_copies(50, 6, words=40, changes=4))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    want = sorted(map(tuple, P.removals(docs).collect()))
+    assert want
+    monkeypatch.setattr(J, "TILE", 8)
+    monkeypatch.setattr(J, "STRIP", 3)
+    assert sorted(map(tuple, P.removals(docs).collect())) == want
+
+
+def test_removed_spans_of_many_texts_at_once(monkeypatch):
+    calls, places = [], P.W.places
+    monkeypatch.setattr(P.W, "places", lambda *a: calls.append(1) or places(*a))
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("cluster", pa.int64()), ("kept", pa.int64()), ("held", pa.bool_())]))
+    span = lambda a, b, held=False: {"start": a, "stop": b, "cluster": a, "kept": None, "held": held}
+    texts = ["a b c d e\nf g", None, "é b", "a b c d\ne f", "  ", "x y"] * 100
+    spans = [[span(0, 2), span(1, 3)], None, [], [span(0, 3), span(3, 4, True)], None, [span(0, 2)]] * 100
+    got = list(P.merged(pa.array(texts), pa.array(spans, kind)))
+    assert got == [[(0, 5, 3, 0, None)], [], [], [(0, 5, 3, 0, None)], [], [(0, 3, 2, 0, None)]] * 100
+    assert len(calls) == 1
